@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tranche.catalog.queries import FORMULAS, SELECTED_VINTAGES
+from tranche.plans.export import SHEETS
 from tranche.sources.shapes import SCENARIOS
 
 # Named sub-queries, each built on tables or on earlier ones.
@@ -520,6 +521,31 @@ def checks_rows() -> str:
     )
 
 
+COVERAGE = "greatest(CAST(interest_coverage AS DOUBLE), CAST(0.1 AS DOUBLE))"
+MODEL_NUMBERS = {
+    name: f"CAST({name} AS DOUBLE)"
+    for name in ("maturity_months", "credit_score", "coupon_rate", "leverage", "interest_coverage",
+                 "debt_to_equity", "origination_gdp_growth", "origination_unemployment",
+                 "origination_policy_rate", "origination_credit_spread_bps")
+} | {
+    "log_ead": "ln(1 + CAST(ead AS DOUBLE))",
+    "leverage_to_coverage": f"CAST(leverage AS DOUBLE) / {COVERAGE}",
+    "debt_service_pressure":
+        f"CAST(coupon_rate AS DOUBLE) * CAST(leverage AS DOUBLE) / {COVERAGE}",
+}
+# Three models on two splits plus the chosen cut-off on both; 99 cut-offs; 18 features.
+EXPORT_COUNTS = {
+    "Fact_Loans": "SELECT count(*) FROM loans",
+    "Fact_Thresholds": "SELECT CAST(99 AS BIGINT)",
+    "Fact_ModelMetrics": "SELECT CAST(8 AS BIGINT)",
+    "Fact_Portfolio": "SELECT count(*) FROM macro",
+    "Fact_Stress": f"SELECT {len(SCENARIOS)} * count(DISTINCT sector) FROM loans",
+    "Fact_Vintage": "SELECT count(*) FROM vintage",
+    "Fact_Migration": "SELECT count(*) FROM (SELECT DISTINCT year, sector FROM ratings) AS pairs",
+    "Feature_Importance": "SELECT CAST(18 AS BIGINT)",
+}
+
+
 def oracle() -> dict[str, str]:
     loans, scored = using("loans"), using("scored")
     kpis = (
@@ -871,5 +897,44 @@ def oracle() -> dict[str, str]:
             "SELECT sector, count(DISTINCT loan_id) AS loans, CAST(sum(ead) AS DOUBLE) AS ead, "
             f"{mean('defaulted')} AS default_rate FROM loans GROUP BY sector"
         ),
+        "model_inputs": loans(
+            "SELECT loan_id, round(ln(1 + CAST(ead AS DOUBLE)), 9) AS log_ead, "
+            f"round(CAST(leverage AS DOUBLE) / {COVERAGE}, 9) AS leverage_to_coverage, "
+            f"round(CAST(coupon_rate AS DOUBLE) * CAST(leverage AS DOUBLE) / {COVERAGE}, 9) "
+            "AS debt_service_pressure, CAST(month(origination_date) AS VARCHAR) AS origination_month "
+            "FROM loans"
+        ),
+        "training_medians_and_modes": using("clean")(
+            unions(
+                [
+                    f"SELECT '{name}' AS feature, round(quantile_cont({value}, 0.5), 6) AS median, "
+                    "CAST(NULL AS VARCHAR) AS mode FROM clean "
+                    "WHERE origination_date < DATE '2000-01-01'"
+                    for name, value in MODEL_NUMBERS.items()
+                ]
+                + [
+                    f"SELECT '{name}', NULL, (SELECT CAST({name} AS VARCHAR) FROM clean "
+                    f"WHERE origination_date < DATE '2000-01-01' GROUP BY CAST({name} AS VARCHAR) "
+                    f"ORDER BY count(*) DESC, CAST({name} AS VARCHAR) LIMIT 1)"
+                    for name in ("sector", "loan_type", "collateral", "initial_rating",
+                                 "origination_month")
+                ]
+            )
+        ),
+        "ratings_csv_round_trip": using("ratings")(
+            "SELECT issuer_id, sector, "
+            + big("year", "upgraded", "downgraded", "defaulted", "notches_moved")
+            + " FROM ratings"
+        ),
+        "published_manifest": using("loans", "macro", "ratings", "vintage")(
+            unions(
+                [
+                    f"SELECT '{name}' AS sheet_name, 'tbl{name}' AS table_name, "
+                    f"'{sheet.source}' AS source_object, '{sheet.grain}' AS grain, "
+                    f"({EXPORT_COUNTS[name]}) AS row_count"
+                    for name, sheet in SHEETS.items()
+                ]
+            )
+        ),
     }
     return sql

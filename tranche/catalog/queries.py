@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tranche import schemas
+from tranche.learning import features, importance, models, training
 from tranche.operators import enrich, metrics, ordering, profile, rules, scoring
-from tranche.plans import reports
-from tranche.session import settle
-from tranche.sources import shapes, sinks
+from tranche.plans import pipeline, reports
+from tranche.session import run_folder, settle
+from tranche.sources import files, shapes, sinks
 
+# Few trees and rounds, so that registered training takes seconds; all rows are used.
+QUICK = models.Settings(trees=10, rounds=5)
 MODEL = "Formula A"
 THRESHOLD = 0.30
 # Score formulas of three stand-in models: (name, factor, modulus, step of a defaulted loan)
@@ -548,3 +551,99 @@ def seeded_sample(spark, folder):
     return ordering.seeded_sample(test, "loan_id", 4000, 42).select(
         "loan_id", "ead", "default_probability"
     )
+
+
+# Models
+
+
+def prepared(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean loans with model features and their time split, settled for repeated passes."""
+    split = scoring.data_split(F.col("origination_date"), shapes.TRAIN_END, shapes.VALIDATION_END)
+    return settle(features.model_features(clean(spark, folder)).withColumn("data_split", split))
+
+
+@registered
+def model_inputs(spark, folder):
+    """The derived model features of every loan."""
+    rows = features.model_features(clean(spark, folder)).select(
+        "loan_id", "log_ead", "leverage_to_coverage", "debt_service_pressure", "origination_month"
+    )
+    return rounded(rows, 9, "log_ead", "leverage_to_coverage", "debt_service_pressure")
+
+
+@registered
+def training_medians_and_modes(spark, folder):
+    """Fill values of the numeric and categorical features on the training loans."""
+    train = prepared(spark, folder).where("data_split = 'train'")
+    numbers = [(n, float(v), None) for n, v in features.exact_medians(train).items()]
+    texts = [(n, None, v) for n, v in features.exact_modes(train).items()]
+    filled = spark.createDataFrame(numbers + texts, "feature string, median double, mode string")
+    return rounded(filled, 6, "median")
+
+
+@registered
+def trained_model_metrics(spark, folder):
+    """Metric rows of the three trained models and of the chosen cut-off."""
+    return training.train_and_score(
+        clean_table(spark, folder), QUICK, shapes.TRAIN_END, shapes.VALIDATION_END
+    ).metrics
+
+
+@registered
+def logistic_importance(spark, folder):
+    """Permutation importance of a logistic model on the test loans."""
+    rows = prepared(spark, folder)
+    model = models.fit_models(
+        rows.where("data_split = 'train'"), QUICK, (models.LOGISTIC,)
+    )[models.LOGISTIC]
+    return importance.permutation_importance(model, rows.where("data_split = 'test'"))
+
+
+@registered
+def batch_scores(spark, folder):
+    """All loans scored by a model that was stored and loaded again."""
+    rows, target = prepared(spark, folder), run_folder(spark)
+    fitted = models.fit_models(rows.where("data_split = 'train'"), QUICK, (models.LOGISTIC,))
+    fitted[models.LOGISTIC].save(target)
+    return models.RiskModel.load(spark, target).score(rows).select("loan_id", "score")
+
+
+# Files, export and the whole run
+
+
+def clean_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean loans as a stored table."""
+    return sinks.store_loans(clean(spark, folder), run_folder(spark))
+
+
+@registered
+def ratings_csv_round_trip(spark, folder):
+    """Ratings written as ordered CSV and read back with their declared types."""
+    target = run_folder(spark)
+    sinks.write_clean_csv({"ratings": shapes.ratings(spark, folder)}, target)
+    back = files.read_typed_csv(spark, f"{target}/credit_ratings_clean", schemas.RATINGS)
+    return back.drop("from_rating", "to_rating")
+
+
+@registered
+def published_manifest(spark, folder):
+    """The whole run, from supplied tables to the published export and its manifest."""
+    base = loans(spark, folder)
+    raw = {
+        "loans": base,
+        "ratings": shapes.ratings(spark, folder),
+        "portfolio": shapes.macro(spark, folder),
+        "stress": shapes.stress(base),
+        "vintage": shapes.vintage(base),
+    }
+    raw = {
+        name: sinks.store_table(df, run_folder(spark), f"raw_{name}")
+        for name, df in raw.items()
+    }
+    plan = pipeline.Plan(
+        shapes.TRAIN_END, shapes.VALIDATION_END, shapes.CUTOFF, QUICK,
+        expected_export={"Fact_Loans": shapes.star(spark, folder, "orders").count()},
+    )
+    target = run_folder(spark)
+    pipeline.run_tables(raw, f"{target}/tables", f"{target}/published", plan)
+    return spark.read.parquet(f"{target}/published/Manifest")

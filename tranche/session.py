@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,21 +31,32 @@ def local_session(name: str = "tranche", cores: int | None = None, memory: str =
     )
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, set up on first use.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only a
-    local session without one gets a temporary folder; on a cluster that would
-    not be reachable from the executors, so it is an error there.
+    It is the one the session names in ``spark.checkpoint.dir``. Only a local
+    session without one gets a temporary folder; on a cluster that would not be
+    reachable from the executors, so it is an error there.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
             folder = tempfile.mkdtemp(prefix="tranche-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def run_folder(spark: SparkSession) -> str:
+    """A new path for one run's tables, below the shared folder."""
+    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
