@@ -62,6 +62,10 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
     return enrich.clean_loans(loans(spark, folder), shapes.macro(spark, folder), shapes.CUTOFF)
 
 
+def enriched(spark: SparkSession, folder: str) -> DataFrame:
+    return enrich.enrich_loans(loans(spark, folder), shapes.macro(spark, folder), shapes.CUTOFF)
+
+
 def with_predictions(spark: SparkSession, folder: str, with_sector: bool = True) -> DataFrame:
     """Loans with every row-wise prediction column, without the decile."""
     scored = shapes.formula_score(loans(spark, folder, with_sector))
@@ -559,13 +563,13 @@ def seeded_sample(spark, folder):
 def prepared(spark: SparkSession, folder: str) -> DataFrame:
     """Clean loans with model features and their time split, settled for repeated passes."""
     split = scoring.data_split(F.col("origination_date"), shapes.TRAIN_END, shapes.VALIDATION_END)
-    return settle(features.model_features(clean(spark, folder)).withColumn("data_split", split))
+    return settle(features.model_features(enriched(spark, folder)).withColumn("data_split", split))
 
 
 @registered
 def model_inputs(spark, folder):
     """The derived model features of every loan."""
-    rows = features.model_features(clean(spark, folder)).select(
+    rows = features.model_features(enriched(spark, folder)).select(
         "loan_id", "log_ead", "leverage_to_coverage", "debt_service_pressure", "origination_month"
     )
     return rounded(rows, 9, "log_ead", "leverage_to_coverage", "debt_service_pressure")

@@ -82,12 +82,18 @@ def add_ead_band(loans: DataFrame) -> DataFrame:
     return cut.withColumn("ead_band", c.label_of(F.col("__band"), c.EAD_BAND_LABELS)).drop("__band")
 
 
+def enrich_loans(
+    loans: DataFrame, portfolio: DataFrame, cutoff: str = REPORTED_CUTOFF
+) -> DataFrame:
+    """Row-wise derived columns and the macro values, without the exposure band."""
+    return join_macro(derive_columns(trim_text(loans), cutoff), portfolio)
+
+
 def clean_loans(
     loans: DataFrame, portfolio: DataFrame, cutoff: str = REPORTED_CUTOFF
 ) -> DataFrame:
     # The band comes first: its passes over the loans then read two columns and no join.
-    banded = add_ead_band(trim_text(loans))
-    return join_macro(derive_columns(banded, cutoff), portfolio)
+    return enrich_loans(add_ead_band(trim_text(loans)), portfolio, cutoff)
 
 
 def clean_sources(
