@@ -130,6 +130,8 @@ def _pick(rows, summary, names, key, tie, wanted, ranks) -> DataFrame:
         candidates = candidates.groupBy(*names, "__gap", key).agg(
             F.count(F.lit(1)).alias("__rows")
         )
+    # Range partitioning reads its input twice; settled, that is the few candidates only.
+    candidates = settle(candidates)
     order = [F.col(key).asc(), *([F.col(tie).asc()] if tie else [])]
     ranked = running_totals(candidates, names, order, ["__rows"]).join(small_side(plan), names)
     skipped = F.coalesce(

@@ -101,8 +101,11 @@ def key_report(df: DataFrame, table: Table) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
-    """Child rows whose key is missing from the parent."""
-    return child.join(parent.select(column), column, "left_anti")
+    """Child rows whose key is missing from the parent.
+
+    Parent keys collapse before the shuffle, so a key held by many rows is one there.
+    """
+    return child.join(parent.select(column).distinct(), column, "left_anti")
 
 
 def check_tables(frames: dict[str, DataFrame], tables: dict[str, Table]) -> DataFrame:

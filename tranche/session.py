@@ -24,6 +24,8 @@ def local_session(name: str = "tranche", cores: int | None = None, memory: str =
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Above this many bytes HotSpot leaves a generated method uncompiled.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")

@@ -32,6 +32,9 @@ def store_table(
     out = conform(df, table) if table in TABLES else df
     writer = out.write.mode("overwrite")
     if partition_by:
+        # Rebalancing splits a value holding many rows and joins small ones, so files
+        # stay well sized; without it every task would write a file per value.
+        writer = out.hint("rebalance", partition_by).write.mode("overwrite")
         writer = writer.partitionBy(partition_by)
     writer.parquet(f"{folder}/{table}")
     stored = spark.read.parquet(f"{folder}/{table}")
