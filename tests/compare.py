@@ -41,7 +41,8 @@ def sorted_rows(columns, rows):
     return [columns[i] for i in order], sorted(picked, key=repr)
 
 
-KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "boolean": "BOOLEAN"}
 
 
 def difference(spark, connection, folder: str, name: str) -> str | None:
