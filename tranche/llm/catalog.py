@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tranche.llm import decontaminate, sharding
+from tranche.llm import decontaminate, sharding, tokens, toxicity
+from tranche.llm.frames import importable
+from tranche.llm.labelled import fold
+from tranche.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -20,7 +23,7 @@ def registered(query: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return importable(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 @registered
@@ -67,3 +70,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM tokens LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+def tokenizer_definition(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+@registered
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = f"{run_folder(spark)}/tokens"
+    tokens.write(table(spark, folder, "documents"), tokenizer_definition(), target)
+    return tokens.read(spark, target)
+
+
+@registered
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels")
+    lexicon = toxicity.learn(documents, labels, fold(F.col("doc_id"), 5) != 0)
+    rows, score = toxicity.scored(documents, lexicon)
+    return rows.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= 0.5).cast("int").alias("predicted"),
+    )

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package where it runs from a source folder."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *[p for p in paths if p]])
+    return spark
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """``name``, with underscores before it until no column has it (names compare without case)."""
     lower = {x.lower() for x in taken}
