@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tranche.llm import decontaminate, sharding, tokens, toxicity
+from tranche.llm import decontaminate, quality, sharding, tokens, toxicity, vectors
 from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
 from tranche.session import run_folder
@@ -98,3 +98,46 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.col(score).alias("score"),
         (F.col(score) >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@registered
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels")
+    ensemble = quality.learn(documents, labels, fold(F.col("doc_id"), 4) != 2)
+    rows, score = quality.scored(documents, ensemble)
+    return rows.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        F.col(score).alias("score"),
+        (F.col(score) >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@registered
+def op7_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+SQL["op7_near_vectors"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a
+), component AS (
+    SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), degree AS (
+    SELECT a, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM component LEFT JOIN degree ON vec_id = a
+"""
