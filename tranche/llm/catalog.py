@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tranche.llm import decontaminate, quality, sharding, tokens, toxicity, vectors
+from tranche.llm import decontaminate, jaccard, quality, sharding, tokens, toxicity, vectors
 from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
 from tranche.session import run_folder
@@ -141,3 +141,34 @@ WITH RECURSIVE usable AS (
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM component LEFT JOIN degree ON vec_id = a
 """
+
+
+@registered
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked_documents(table(spark, folder, "documents"))
+
+
+SQL["op6_jaccard_join"] = r"""
+WITH RECURSIVE tokens AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM tokens WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+    ) JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * common >= 75 * (p.n + q.n - common)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
