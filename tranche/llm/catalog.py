@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tranche.llm import decontaminate, jaccard, quality, sharding, tokens, toxicity, vectors
+from tranche.llm import chat, decontaminate, jaccard, mixing, quality, sharding, tokens, toxicity, vectors
 from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
 from tranche.session import run_folder
@@ -172,3 +172,66 @@ WITH RECURSIVE tokens AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+
+@registered
+def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return mixing.mix(documents, mixing.tempered(documents))[0]
+
+
+SQL["op1_mix"] = """
+WITH RECURSIVE sources AS (
+    SELECT source, sum(strlen(coalesce(text, '')) + 1) AS size FROM documents GROUP BY source
+), weights AS (
+    SELECT source, CAST(size AS DOUBLE) AS size, floor(sqrt(CAST(size AS DOUBLE))) AS weight FROM sources
+), rates AS (
+    SELECT source, (weight / sum(weight) OVER ()) * (sum(size) OVER () / size) AS rate FROM weights
+), parts AS (
+    SELECT source, greatest(ceil(rate / 16.0), 1) AS parts, rate / greatest(ceil(rate / 16.0), 1) AS rate FROM rates
+), steps AS (
+    SELECT source, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM parts
+    UNION ALL
+    SELECT source, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM steps WHERE k < 80
+), draws AS (
+    SELECT doc_id, source, CAST(CAST('0x' || md5('count:42:' || doc_id || ':' || i)[1:13] AS BIGINT) AS DOUBLE)
+        / 4503599627370496.0 AS u
+    FROM (SELECT doc_id, source, unnest(range(1, CAST(parts AS BIGINT) + 1)) AS i FROM documents JOIN parts USING (source))
+), counts AS (
+    SELECT doc_id, count(*) AS n FROM draws JOIN steps ON draws.source = steps.source AND u >= c GROUP BY doc_id
+), copies AS (
+    SELECT documents.*, unnest(range(1, n + 1)) AS copy FROM documents JOIN counts USING (doc_id)
+)
+SELECT doc_id, text, lang, source, n_chars, copy,
+    row_number() OVER (ORDER BY md5('order:42:' || doc_id || ':' || copy), doc_id, copy) - 1 AS position
+FROM copies
+"""
+
+
+@registered
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string")))
+    return chat.rotated(table(spark, folder, "conversations")).withColumn("mask", F.array_join(spans, ","))
+
+
+SQL["op3_chat"] = r"""
+WITH turns AS (
+    SELECT conv_id, role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text) - 1 AS place
+    FROM conversations
+), people AS (
+    SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role <> 'system'
+), seen AS (
+    SELECT conv_id, perspective, place, place // 512 AS chunk, role IS NOT DISTINCT FROM perspective AS own,
+        '<|im_start|>' || replace(CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
+            ELSE 'user' || coalesce(' name=' || role, '') END, '<|', '< |') || chr(10) AS head,
+        replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS body
+    FROM turns JOIN people USING (conv_id)
+), spans AS (
+    SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, chunk ORDER BY place) AS stop
+    FROM seen
+)
+SELECT conv_id, perspective, chunk, count(*) AS turns, string_agg(head || body, '' ORDER BY place) AS text,
+    coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY place) FILTER (own), '') AS mask
+FROM spans GROUP BY conv_id, perspective, chunk
+"""
