@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tranche.llm import chat, decontaminate, jaccard, mixing, quality, sharding, tokens, toxicity, vectors
+from tranche.llm import chat, decontaminate, jaccard, lines, mixing, quality, sharding, tokens, toxicity, vectors
 from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
 from tranche.session import run_folder
@@ -235,3 +235,9 @@ SELECT conv_id, perspective, chunk, count(*) AS turns, string_agg(head || body,
     coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY place) FILTER (own), '') AS mask
 FROM spans GROUP BY conv_id, perspective, chunk
 """
+
+
+@registered
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return lines.deduplicated(documents)[0]

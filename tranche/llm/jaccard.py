@@ -290,4 +290,4 @@ def deduplicated(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     share their fate; documents without shingles or id all stay."""
     found = linked_documents(documents, size).where("n_shingles > 0 and doc_id is not null")
     away = found.where("doc_id != component_id").select(F.col("doc_id").alias("__away")).distinct()
-    return documents.join(away, F.col("doc_id") == F.col("__away"), "left_anti")
+    return documents.join(small_side(away), F.col("doc_id").cast("long") == F.col("__away"), "left_anti")
