@@ -86,11 +86,6 @@ def exact_mean(column: Column) -> Column:
     return ratio(F.sum(column), F.count(column))
 
 
-def decimal_mean(column: str, scale: int) -> Column:
-    """`exact_mean` of a double column known to hold at most ``scale`` decimals."""
-    return exact_mean(F.col(column).cast(f"decimal(18,{scale})"))
-
-
 def rating_sort(rating: Column) -> Column:
     """1 for the best grade … 7 for the worst, NULL for a grade outside the scale."""
     chain = F.when(rating == RATING_SCALE[0], 1)

@@ -48,9 +48,10 @@ def unmatched_months(loans: DataFrame, macro: DataFrame) -> DataFrame:
 def join_macro(loans: DataFrame, portfolio: DataFrame) -> DataFrame:
     """Left join on the origination month; stops if a loan finds no macro values."""
     macro = macro_at_origination(portfolio)
-    lost = unmatched_months(loans, macro).orderBy("origination_date").limit(1).collect()
+    lost = unmatched_months(loans, macro).orderBy("origination_date").collect()
     if lost:
-        raise ValueError(f"no macro values for loans of {lost[0]['origination_date']}")
+        months = ", ".join(str(row["origination_date"]) for row in lost)
+        raise ValueError(f"no macro values for loans of {months}")
     return loans.join(small_side(macro), "origination_date", "left")
 
 

@@ -20,6 +20,8 @@ RUN = "__run"
 # sketch that places it. They decide how many rows get sorted, never the result.
 BRACKET = 0.001
 ACCURACY = 2_000
+# Rows that one task may sort; more are range-partitioned.
+WINDOW_ROWS = 500_000
 
 
 def running_totals(
@@ -85,17 +87,17 @@ def order_statistics(
             F.percentile_approx(key, probes, ACCURACY).alias("__cuts"),
         )
     )
-    found = _pick(rows, summary, names, key, tie, wanted, ranks)
+    found = _pick(rows, summary, names, key, tie, wanted, ranks, bool(groups))
     if found.count() < wanted * summary.count():
         # A bracket missed its rank: sort every row instead.
         widest = summary.withColumn(
             "__cuts", F.transform("__cuts", lambda _: F.lit(None).cast(rows.schema[key].dataType))
         )
-        found = _pick(rows, widest, names, key, tie, wanted, ranks)
+        found = _pick(rows, widest, names, key, tie, wanted, ranks, bool(groups))
     return found.drop(*([] if groups else ["__all"]))
 
 
-def _pick(rows, summary, names, key, tie, wanted, ranks) -> DataFrame:
+def _pick(rows, summary, names, key, tie, wanted, ranks, grouped) -> DataFrame:
     value = F.col(key)
     cuts = [
         (F.element_at("__cuts", 2 * i + 1), F.element_at("__cuts", 2 * i + 2)) for i in range(wanted)
@@ -108,39 +110,30 @@ def _pick(rows, summary, names, key, tie, wanted, ranks) -> DataFrame:
     gap = reduce(
         lambda a, b: a + b, [F.coalesce((value > high).cast("int"), F.lit(0)) for _, high in cuts]
     )
-    tagged = rows.join(small_side(summary), names).select(
-        *names, key, *([tie] if tie else []), inside.alias("__inside"), gap.alias("__gap")
-    )
-    # Rows outside the brackets below a bracketed row are those with no larger gap.
-    below = (
-        tagged.where(~F.col("__inside"))
-        .groupBy(*names)
-        .agg(
-            *[
-                F.sum((F.col("__gap") <= j).cast("bigint")).alias(f"__below{j}")
-                for j in range(wanted + 1)
-            ]
+    # Without groups the summary is one row.
+    side = small_side(summary) if grouped else F.broadcast(summary)
+    tagged = rows.join(side, names).select(
+        *names, "n", inside.alias("__inside"), gap.alias("__gap"), key, *([tie] if tie else [])
+    )
+    # One pass: outside the brackets rows are only counted, per gap between them. Those of a gap
+    # come before the bracketed rows of the same gap.
+    bracketed = [F.when(F.col("__inside"), F.col(c)).alias(c) for c in [key, *([tie] if tie else [])]]
+    counted = settle(
+        tagged.groupBy(*names, "n", "__gap", "__inside", *bracketed).agg(F.count(F.lit(1)).alias("__rows"))
+    )
+    order = [F.col("__gap"), F.col("__inside"), F.col(key), *([F.col(tie)] if tie else [])]
+    if counted.count() <= WINDOW_ROWS:
+        # Few enough for one task; the result is the same either way.
+        ranked = counted.withColumn(
+            "cum___rows",
+            F.sum("__rows").over(
+                Window.partitionBy(*names).orderBy(*order)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            ),
         )
-    )
-    plan = settle(summary.drop("__cuts").join(below, names, "left"))
-    candidates = tagged.where("__inside").drop("__inside")
-    if tie:
-        candidates = candidates.withColumn("__rows", F.lit(1).cast("bigint"))
     else:
-        candidates = candidates.groupBy(*names, "__gap", key).agg(
-            F.count(F.lit(1)).alias("__rows")
-        )
-    # Range partitioning reads its input twice; settled, that is the few candidates only.
-    candidates = settle(candidates)
-    order = [F.col(key).asc(), *([F.col(tie).asc()] if tie else [])]
-    ranked = running_totals(candidates, names, order, ["__rows"]).join(small_side(plan), names)
-    skipped = F.coalesce(
-        F.element_at(
-            F.array(*[F.col(f"__below{j}") for j in range(wanted + 1)]), F.col("__gap") + 1
-        ),
-        F.lit(0),
-    )
-    last = F.col("cum___rows") + skipped
+        ranked = running_totals(counted, names, order, ["__rows"])
+    last = F.col("cum___rows")
     first = last - F.col("__rows")
     hits = F.array(
         *[
@@ -149,7 +142,7 @@ def _pick(rows, summary, names, key, tie, wanted, ranks) -> DataFrame:
         ]
     )
     return settle(
-        ranked.select(
+        ranked.where("__inside").select(
             *names, F.explode(F.array_compact(hits)).alias("k"), "n", key, *([tie] if tie else [])
         )
     )
@@ -226,7 +219,8 @@ def assign_buckets(
     passed = reduce(
         lambda a, b: a + b, [(row > F.col(f"__edge{k}")).cast("int") for k in range(1, buckets)]
     )
-    return work.join(small_side(bounds), names, "left").select(
+    side = small_side(bounds) if groups else F.broadcast(bounds)
+    return work.join(side, names, "left").select(
         *df.columns, F.when(F.col("__key").isNotNull(), 1 + passed).alias(output)
     )
 
@@ -241,7 +235,8 @@ def top_per_group(
 
 def seeded_sample(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     """The ``rows`` rows with the smallest seeded hash of their key."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(rows)
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    return df.orderBy(mark, key).limit(rows)
 
 
 def in_listed_order(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:

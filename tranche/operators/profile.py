@@ -74,14 +74,9 @@ def shape_and_missing(df: DataFrame) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every column.
 
-    Whole rows are shuffled only where their 8-byte hash occurs more than once.
+    Equal rows combine before the shuffle, so a row that occurs very often is a few there.
     """
-    hashed = df.withColumn("__hash", F.xxhash64(*df.columns))
-    repeated = (
-        hashed.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__hash")
-    )
-    suspects = hashed.join(repeated, "__hash", "left_semi")
-    copies = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
     extra = copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
     return stacked(extra, [fact(WHOLE_TABLE, "duplicate_rows", F.col("n"))])
 
@@ -148,17 +143,16 @@ def date_ranges(df: DataFrame) -> DataFrame:
 
 def distinct_counts(df: DataFrame) -> DataFrame:
     """Distinct values of every text column, in one shuffle over (column, value)."""
-    return (
-        long_form(df, text_columns(df), "string")
-        .distinct()
-        .groupBy("column_name")
-        .agg(F.count(F.lit(1)).cast("double").alias("number"))
-        .select(
-            "column_name",
-            F.lit("unique_values").alias("metric"),
-            "number",
-            F.lit(None).cast("string").alias("text"),
-        )
+    names = text_columns(df)
+    counts = (
+        long_form(df, names, "string").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
+    )
+    listed = df.sparkSession.createDataFrame([(name,) for name in names], "column_name string")
+    return listed.join(counts, "column_name", "left").select(
+        "column_name",
+        F.lit("unique_values").alias("metric"),
+        F.coalesce("n", F.lit(0)).cast("double").alias("number"),
+        F.lit(None).cast("string").alias("text"),
     )
 
 

@@ -16,11 +16,11 @@ VALIDATION_END = "2022-01-01"
 def data_split(
     date: Column, train_end: str = TRAIN_END, validation_end: str = VALIDATION_END
 ) -> Column:
-    """train before the first date, validation before the second, then test."""
+    """train before the first date, validation before the second, then test; NULL without a date."""
     return (
         F.when(date < F.lit(train_end).cast("date"), "train")
         .when(date < F.lit(validation_end).cast("date"), "validation")
-        .otherwise("test")
+        .when(date.isNotNull(), "test")
     )
 
 

@@ -6,16 +6,17 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only when a count proves it has at most this many rows.
-# All sides checked here are keys plus a few numbers, so this is tens of megabytes.
-BROADCAST_ROW_LIMIT = 200_000
+# A side is broadcast only when it is measured to be no larger than this.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 
 
 def local_session(name: str = "tranche", cores: int | None = None, memory: str = "12g") -> SparkSession:
-    """Session for tests and the bench; a cluster supplies its own."""
+    """Session for tests and the bench, with a folder of its own; a cluster supplies its own."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -29,24 +30,18 @@ def local_session(name: str = "tranche", cores: int | None = None, memory: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tranche-shared-"))
         .getOrCreate()
     )
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder, set up on first use.
-
-    It is the one the session names in ``spark.checkpoint.dir``. Only a local
-    session without one gets a temporary folder; on a cluster that would not be
-    reachable from the executors, so it is an error there.
-    """
+    """The folder that ``spark.checkpoint.dir`` names; all executors must reach it."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            folder = tempfile.mkdtemp(prefix="tranche-checkpoint-")
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
@@ -57,13 +52,28 @@ def run_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and continue from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and continue from there.
+
+    One job, unlike a checkpoint, and later steps read only the columns they use.
+    """
+    folder = run_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value: measured where they vary."""
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 8
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0)) + 8
+    return F.lit(16)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` if it is proven small, else leave the join to the planner."""
-    if df.limit(limit + 1).count() <= limit:
-        return F.broadcast(df)
-    return df
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` if it is measured to be small, else leave the join to the planner."""
+    width = F.lit(0)
+    for field in df.schema.fields:
+        width = width + _width(field)
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size")).first()
+    return F.broadcast(df) if found["n"] <= rows and (found["size"] or 0) <= size else df

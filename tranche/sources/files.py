@@ -48,7 +48,3 @@ def read_report_csv(spark: SparkSession, folder: str, table: str, file: str) ->
     """A result table delivered as CSV, typed by its declared schema."""
     return read_typed_csv(spark, f"{folder}/{file}", TABLES[table])
 
-
-def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A stored table; Spark prunes columns and row groups on the parquet scan."""
-    return spark.read.parquet(f"{folder}/{table}")
