@@ -10,7 +10,7 @@ from tranche.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tranche-tests", cores=8, memory="8g")
+    session = local_session("tranche-tests", memory="8g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

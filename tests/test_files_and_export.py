@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 
 from tranche import schemas
 from tranche.plans import export
-from tranche.sources import files, sinks
+from tranche.sources import files, sinks, versions
 
 
 def write(folder, name, text):
@@ -96,7 +96,7 @@ def test_publish_replaces_the_folder_and_lists_it(spark, tmp_path):
     assert list(listed) == list(export.SHEETS)
     assert listed["Fact_Loans"]["row_count"] == 3
     assert listed["Fact_Loans"]["table_name"] == "tblFact_Loans"
-    assert os.listdir(tmp_path) == ["published"]
+    assert spark.read.parquet(f"{versions.current(spark, target)}/Fact_Loans").count() == 3
 
 
 @pytest.mark.parametrize(
@@ -118,12 +118,13 @@ def test_breaches_are_found_and_nothing_is_published(spark, tmp_path, table, cha
     target = str(tmp_path / "published")
     with pytest.raises(ValueError, match=message):
         export.publish(tables, target, {}, ("m",))
-    assert os.listdir(tmp_path) == []
+    assert not versions.exists(spark, target)
 
 
 def test_failed_staging_keeps_the_old_export(spark, tmp_path, monkeypatch):
     target = str(tmp_path / "published")
     export.publish(sheets(spark), target, {}, ("m",))
+    before = versions.current(spark, target)
     real = export.row_counts
     calls = []
 
@@ -135,5 +136,6 @@ def test_failed_staging_keeps_the_old_export(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(export, "row_counts", short)
     with pytest.raises(ValueError, match="staged"):
         export.publish(sheets(spark), target, {}, ("m",))
-    assert os.listdir(tmp_path) == ["published"]
-    assert spark.read.parquet(f"{target}/Fact_Loans").count() == 3
+    assert versions.current(spark, target) == before
+    assert spark.read.parquet(f"{before}/Fact_Loans").count() == 3
+    assert [n for n in os.listdir(target) if n.startswith("version-")] == [before.rsplit("/", 1)[1]]

@@ -1,10 +1,11 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tranche.learning.models import Settings
 from tranche.plans import pipeline
 from tranche.schemas import SOURCE_FILES, SOURCE_TABLES
-from tranche.sources import files, sinks
+from tranche.sources import files, sinks, versions
 
 SECTORS, RATINGS = ["Energy", "Retail", "Tech"], ["AAA", "A", "BBB", "B"]
 
@@ -84,8 +85,10 @@ def test_whole_run_from_files(spark, sources, tmp_path):
     row = pipeline.run(spark, sources, folder, published, plan(expected_export={"Fact_Loans": 720}))
     row = row.first()
     assert row["status"] == "PASS" and row["loan_rows"] == 720
-    manifest = {r["sheet_name"]: r["row_count"]
-                for r in spark.read.parquet(f"{published}/Manifest").collect()}
+    assert {r["table_name"]: r["rows"] for r in row["row_counts"]}["Fact_Loans"] == 720
+    tables_root, folder = folder, versions.current(spark, folder)
+    manifest = {r["sheet_name"]: r["row_count"] for r in
+                spark.read.parquet(f"{versions.current(spark, published)}/Manifest").collect()}
     assert manifest == {
         "Fact_Loans": 720, "Fact_Thresholds": 99, "Fact_ModelMetrics": 8, "Fact_Portfolio": 36,
         "Fact_Stress": 6, "Fact_Vintage": 40, "Fact_Migration": 9, "Feature_Importance": 18,
@@ -97,6 +100,9 @@ def test_whole_run_from_files(spark, sources, tmp_path):
     assert spark.sql("SELECT sum(loans) AS n FROM executive_kpis").first()["n"] == 720
     report = spark.read.json(f"{folder}/data_audit_report")
     assert report.where("metric = 'rows'").count() == 5
+    facts = {r["metric"]: r["number"] for r in report.where("table_name = 'clean_loans'").collect()}
+    assert facts["clean_loan_rows"] == 720 and facts["defaults"] + facts["non_defaults"] == 720
+    assert report.where("metric = 'scope_excluded'").count() == 9
     clean = files.read_typed_csv(
         spark, f"{folder}/clean_csv/loan_portfolio_clean", SOURCE_TABLES["loans"])
     assert clean.count() == 720
@@ -110,3 +116,15 @@ def test_whole_run_from_files(spark, sources, tmp_path):
         pipeline.validate_run(tables, wrong, published)
     with pytest.raises(ValueError, match="lack models"):
         pipeline.validate_run(tables, pipeline.Plan(models=("Another",)), published)
+
+    # A delivery that breaks a constraint, or has a bad cell in any column, leaves the tables in use.
+    raw = files.read_sources(spark, sources)
+    broken = raw["loans"].withColumn("ead", F.when(F.trim("loan_id") == "L00007", -1).otherwise(F.col("ead")))
+    with pytest.raises(ValueError, match="ead_positive"):
+        pipeline.run_tables({**raw, "loans": broken}, tables_root, published, plan())
+    bad = raw["ratings"].withColumn("notches_moved", F.expr(
+        "CASE WHEN issuer_id = '3' THEN CAST(raise_error('notches_moved: not a smallint') AS SMALLINT) ELSE notches_moved END"))
+    with pytest.raises(PySparkException, match="notches_moved"):
+        pipeline.run_tables({**raw, "ratings": bad}, tables_root, published, plan())
+    assert versions.current(spark, tables_root) == folder
+    assert spark.read.parquet(f"{folder}/loans").count() == 720

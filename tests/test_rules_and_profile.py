@@ -80,7 +80,7 @@ def test_key_and_foreign_key_rules(spark):
     child = spark.createDataFrame([("A", 1), ("A", 2), ("X", 3)], "loan_id string, v int")
     parents = schemas.Table("loans", "loan_id string", ("loan_id",))
     children = schemas.Table(
-        "loan_predictions", "loan_id string; v int", ("loan_id",), references={"loan_id": "loans"}
+        "loan_predictions", "loan_id string, v int", ("loan_id",), references={"loan_id": "loans"}
     )
     report = rules.check_tables(
         {"loans": parent, "loan_predictions": child},

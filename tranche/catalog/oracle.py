@@ -2,9 +2,31 @@
 
 from __future__ import annotations
 
-from tranche.catalog.queries import FORMULAS, SELECTED_VINTAGES
-from tranche.plans.export import SHEETS
-from tranche.sources.shapes import SCENARIOS
+# Fixed values, written out here so that the code under test cannot vouch for itself.
+FORMULAS = (("Formula A", 31, 600, 300), ("Formula B", 17, 700, 200), ("Formula C", 13, 500, 400))
+SELECTED_VINTAGES = ("1995Q3", "1997Q4", "1999Q4", "2001Q1")
+SCENARIOS = (("baseline", "1.0"), ("mild", "1.25"), ("adverse", "1.5"), ("severe", "2.0"))
+SHEETS = (
+    ("Fact_Loans", "loan_fact", "One originated loan"),
+    ("Fact_Thresholds", "threshold_simulator", "One selected-model test threshold"),
+    ("Fact_ModelMetrics", "model_metrics", "One model, split, and threshold type"),
+    ("Fact_Portfolio", "portfolio_metrics", "One portfolio month"),
+    ("Fact_Stress", "stress_scenarios", "One scenario and sector"),
+    ("Fact_Vintage", "vintage_analysis", "One vintage and month on books"),
+    ("Fact_Migration", "rating_migration", "One year and sector"),
+    ("Feature_Importance", "feature_importance", "One selected-model feature"),
+)
+LOAN_TYPES = (
+    ("loan_id", "string"), ("origination_date", "date"), ("maturity_date", "date"),
+    ("maturity_months", "smallint"), ("sector", "string"), ("loan_type", "string"),
+    ("collateral", "string"), ("initial_rating", "string"), ("credit_score", "smallint"),
+    ("ead", "decimal(18,2)"), ("coupon_rate", "decimal(10,6)"), ("leverage", "decimal(10,6)"),
+    ("interest_coverage", "decimal(10,6)"), ("debt_to_equity", "decimal(10,6)"),
+    ("pd_annual", "decimal(12,9)"), ("lgd", "decimal(10,7)"), ("el", "decimal(18,2)"),
+    ("unexpected_loss", "decimal(18,2)"), ("rwa", "decimal(18,2)"), ("defaulted", "smallint"),
+    ("default_date", "date"), ("survival_months", "smallint"), ("recovery_rate", "decimal(10,7)"),
+    ("loss_given_default", "decimal(18,2)"),
+)
 
 # Named sub-queries, each built on tables or on earlier ones.
 LOANS = """
@@ -103,7 +125,7 @@ FROM (
     SELECT sector, sum(ead) AS ead, sum(el) AS el,
            CAST(sum(pd_annual) AS DOUBLE) / count(*) AS pd, CAST(sum(lgd) AS DOUBLE) / count(*) AS lgd
     FROM loans GROUP BY sector
-) AS base CROSS JOIN (VALUES {", ".join(f"('{s[0]}', CAST({s[5]} AS DOUBLE))" for s in SCENARIOS)})
+) AS base CROSS JOIN (VALUES {", ".join(f"('{s[0]}', CAST({s[1]} AS DOUBLE))" for s in SCENARIOS)})
     AS scenarios(scenario, multiplier)
 """
 
@@ -473,22 +495,25 @@ def constraints_sql() -> str:
 
 def item_rules_sql() -> str:
     rows = "(SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS items"
+    key = "concat_ws('|', l_orderkey, l_linenumber)"
     parts = [
         f"SELECT 'lineitem' AS table_name, '{n}_not_null' AS rule, "
-        f"count(*) FILTER (WHERE {n} IS NULL) AS violations FROM {rows}"
+        f"count(*) FILTER (WHERE {n} IS NULL) AS violations, "
+        f"min(CASE WHEN {n} IS NULL THEN {key} END) AS sample_key FROM {rows}"
         for n in ("l_orderkey", "l_linenumber", "l_discount", "l_shipdate", "o_orderdate")
     ]
     parts.append(
-        "SELECT 'lineitem', 'shipped_after_order', count(*) FILTER (WHERE l_shipdate < o_orderdate) "
-        f"FROM {rows}"
+        "SELECT 'lineitem', 'shipped_after_order', count(*) FILTER (WHERE l_shipdate < o_orderdate), "
+        f"min({key}) FILTER (WHERE l_shipdate < o_orderdate) FROM {rows}"
     )
     parts.append(
         "SELECT 'lineitem', 'discount_below_nine_percent', "
-        f"count(*) FILTER (WHERE l_discount >= CAST(0.09 AS DOUBLE)) FROM {rows}"
+        f"count(*) FILTER (WHERE l_discount >= CAST(0.09 AS DOUBLE)), "
+        f"min({key}) FILTER (WHERE l_discount >= CAST(0.09 AS DOUBLE)) FROM {rows}"
     )
     parts.append(
-        "SELECT 'lineitem', 'primary_key', CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n "
-        f"FROM {rows} GROUP BY l_orderkey, l_linenumber) AS keys"
+        "SELECT 'lineitem', 'primary_key', CAST(sum(n - 1) AS BIGINT), min(k) FROM (SELECT count(*) AS n, "
+        f"{key} AS k FROM {rows} GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) AS keys"
     )
     return unions(parts)
 
@@ -731,17 +756,18 @@ def oracle() -> dict[str, str]:
         ),
         "loan_shape_and_missing": loans(
             unions(
-                ["SELECT '*' AS column_name, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS number "
-                 "FROM loans", "SELECT '*', 'columns', 24.0"]
+                ["SELECT '*' AS column_name, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS number, "
+                 "CAST(NULL AS VARCHAR) AS text FROM loans", "SELECT '*', 'columns', 24.0, NULL"]
+                + [f"SELECT '{n}', 'data_type', NULL, '{kind}'" for n, kind in LOAN_TYPES]
                 + [
                     f"SELECT '{n}', 'missing_values', CAST(count(*) FILTER (WHERE {n} IS NULL) "
-                    f"AS DOUBLE) AS c FROM loans HAVING c > 0"
+                    f"AS DOUBLE) AS c, NULL FROM loans HAVING c > 0"
                     for n in LOAN_NUMBERS + LOAN_TEXTS + LOAN_DATES
                 ]
             )
         ),
         "item_duplicate_rows": distinct_rows_sql("lineitem", "*"),
-        "repeated_event_facts": distinct_rows_sql(
+        "repeated_item_facts": distinct_rows_sql(
             "lineitem", "l_returnflag, l_linestatus, l_quantity, l_discount, l_tax"
         ),
         "loan_numeric_ranges": loans(
@@ -923,16 +949,74 @@ def oracle() -> dict[str, str]:
         ),
         "ratings_csv_round_trip": using("ratings")(
             "SELECT issuer_id, sector, "
-            + big("year", "upgraded", "downgraded", "defaulted", "notches_moved")
+            + ", ".join(
+                f"list_extract(['AAA', 'A', 'BBB', 'BB', 'CCC'], CAST(substr({c}, 1, 1) AS BIGINT)) AS {c}"
+                for c in ("from_rating", "to_rating")
+            )
+            + ", " + big("year", "upgraded", "downgraded", "defaulted", "notches_moved")
             + " FROM ratings"
         ),
+        "seeded_sample": scored(
+            "SELECT loan_id, " + dbl("ead", "default_probability") + " FROM (SELECT * FROM scored "
+            "WHERE data_split = 'test' ORDER BY md5('42:' || loan_id), loan_id LIMIT 500) AS picked"
+        ),
+        "stored_model_agreement": loans(
+            "SELECT count(*) AS loans, CAST(0 AS BIGINT) AS differing FROM loans"
+        ),
+        "logistic_score_check": loans(
+            "SELECT count(*) AS loans, CAST(0 AS BIGINT) AS differing FROM loans"
+        ),
+        "scaled_feature_moments": unions(
+            [f"SELECT '{name}' AS feature, CAST(0 AS DOUBLE) AS mean, CAST(1 AS DOUBLE) AS deviation"
+             for name in MODEL_NUMBERS]
+        ),
+        "encoded_category_counts": using("clean")(
+            unions(
+                [f"SELECT '{name}' AS feature, CAST({name} AS VARCHAR) AS category, count(*) AS ones "
+                 f"FROM clean WHERE origination_date < DATE '2000-01-01' GROUP BY CAST({name} AS VARCHAR)"
+                 for name in ("sector", "loan_type", "collateral", "initial_rating", "origination_month")]
+            )
+        ),
+        "fold_sizes": loans(
+            "SELECT CAST(defaulted AS BIGINT) AS defaulted, fold, (n - fold + 2) // 3 AS loans FROM ("
+            "SELECT defaulted, count(*) AS n FROM loans WHERE origination_date < DATE '2000-01-01' "
+            "GROUP BY defaulted) AS sizes CROSS JOIN range(0, 3) AS folds(fold)"
+        ),
+        "view_totals": scored(
+            "SELECT data_split, count(*) AS loans, CAST(sum(ead) AS DOUBLE) AS ead FROM scored "
+            "GROUP BY data_split"
+        ),
+        "source_file_counts": using("loans", "ratings", "macro", "stress", "vintage")(
+            unions([
+                "SELECT 'loans' AS table_name, count(*) AS rows FROM loans",
+                "SELECT 'ratings', count(*) FROM ratings",
+                "SELECT 'portfolio', count(*) FROM macro",
+                "SELECT 'stress', count(*) FROM stress",
+                "SELECT 'vintage', count(*) FROM vintage",
+            ])
+        ),
+        "stripped_texts": loans(
+            "SELECT loan_id, sector, loan_type, collateral, initial_rating FROM loans"
+        ),
+        "distinct_counts_with_empty_column": loans(
+            unions([
+                *[f"SELECT '{n}' AS column_name, CAST(count(DISTINCT {n}) AS DOUBLE) AS number FROM loans"
+                  for n in LOAN_TEXTS],
+                "SELECT 'remark', CAST(0 AS DOUBLE)",
+            ])
+        ),
+        "undated_splits": loans(
+            "SELECT CASE WHEN number % 10 = 0 THEN NULL WHEN origination_date < DATE '2000-01-01' "
+            "THEN 'train' WHEN origination_date < DATE '2001-01-01' THEN 'validation' ELSE 'test' END "
+            "AS data_split, count(*) AS loans FROM loans GROUP BY 1"
+        ),
         "published_manifest": using("loans", "macro", "ratings", "vintage")(
             unions(
                 [
                     f"SELECT '{name}' AS sheet_name, 'tbl{name}' AS table_name, "
-                    f"'{sheet.source}' AS source_object, '{sheet.grain}' AS grain, "
+                    f"'{source}' AS source_object, '{grain}' AS grain, "
                     f"({EXPORT_COUNTS[name]}) AS row_count"
-                    for name, sheet in SHEETS.items()
+                    for name, source, grain in SHEETS
                 ]
             )
         ),

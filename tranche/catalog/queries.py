@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,10 +16,9 @@ from tranche.learning import features, importance, models, training
 from tranche.operators import enrich, metrics, ordering, profile, rules, scoring
 from tranche.plans import pipeline, reports
 from tranche.session import run_folder, settle
-from tranche.sources import files, shapes, sinks
+from tranche.sources import files, shapes, sinks, versions
 
-# Few trees and rounds, so that registered training takes seconds; all rows are used.
-QUICK = models.Settings(trees=10, rounds=5)
+SETTINGS = models.Settings()
 MODEL = "Formula A"
 THRESHOLD = 0.30
 # Score formulas of three stand-in models: (name, factor, modulus, step of a defaulted loan)
@@ -261,8 +262,7 @@ def exposure_band_edges(spark, folder):
 
 @registered
 def loan_shape_and_missing(spark, folder):
-    found = profile.shape_and_missing(loans(spark, folder))
-    return found.where("metric <> 'data_type'").select("column_name", "metric", "number")
+    return profile.shape_and_missing(loans(spark, folder))
 
 
 @registered
@@ -271,7 +271,7 @@ def item_duplicate_rows(spark, folder):
 
 
 @registered
-def repeated_event_facts(spark, folder):
+def repeated_item_facts(spark, folder):
     """Duplicates among the columns of a table that do repeat."""
     items = shapes.star(spark, folder, "lineitem").select(
         "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"
@@ -316,6 +316,23 @@ def loan_distinct_counts(spark, folder):
     return profile.distinct_counts(loans(spark, folder)).select("column_name", "number")
 
 
+@registered
+def distinct_counts_with_empty_column(spark, folder):
+    """The same with a text column that is always NULL."""
+    rows = loans(spark, folder).withColumn("remark", F.lit(None).cast("string"))
+    return profile.distinct_counts(rows).select("column_name", "number")
+
+
+@registered
+def undated_splits(spark, folder):
+    """Every tenth loan without a date: it is in no split."""
+    number = F.substring("loan_id", 2, 12).cast("bigint")
+    date = F.when(number % 10 != 0, F.col("origination_date"))
+    split = scoring.data_split(date, shapes.TRAIN_END, shapes.VALIDATION_END)
+    rows = loans(spark, folder, with_sector=False).select(split.alias("data_split"))
+    return rows.groupBy("data_split").agg(F.count(F.lit(1)).alias("loans"))
+
+
 @registered
 def portfolio_summary(spark, folder):
     return profile.portfolio_summary(loans(spark, folder))
@@ -357,7 +374,7 @@ def item_rules(spark, folder):
     ).select("l_orderkey", "l_linenumber", "l_discount", "l_shipdate", "o_orderdate")
     table = schemas.Table(
         "lineitem",
-        "l_orderkey bigint; l_linenumber int; l_discount double; l_shipdate date; o_orderdate date",
+        "l_orderkey bigint, l_linenumber int, l_discount double, l_shipdate date, o_orderdate date",
         ("l_orderkey", "l_linenumber"),
         checks={
             "shipped_after_order": "l_shipdate >= o_orderdate",
@@ -365,7 +382,7 @@ def item_rules(spark, folder):
         },
     )
     found = rules.constraint_report(items, table).unionByName(rules.key_report(items, table))
-    return found.select("table_name", "rule", "violations")
+    return found
 
 
 @registered
@@ -552,7 +569,7 @@ def sector_overview(spark, folder):
 @registered
 def seeded_sample(spark, folder):
     test = with_predictions(spark, folder, with_sector=False).where("data_split = 'test'")
-    return ordering.seeded_sample(test, "loan_id", 4000, 42).select(
+    return ordering.seeded_sample(test, "loan_id", 500, 42).select(
         "loan_id", "ead", "default_probability"
     )
 
@@ -589,7 +606,7 @@ def training_medians_and_modes(spark, folder):
 def trained_model_metrics(spark, folder):
     """Metric rows of the three trained models and of the chosen cut-off."""
     return training.train_and_score(
-        clean_table(spark, folder), QUICK, shapes.TRAIN_END, shapes.VALIDATION_END
+        clean_table(spark, folder), SETTINGS, shapes.TRAIN_END, shapes.VALIDATION_END
     ).metrics
 
 
@@ -598,7 +615,7 @@ def logistic_importance(spark, folder):
     """Permutation importance of a logistic model on the test loans."""
     rows = prepared(spark, folder)
     model = models.fit_models(
-        rows.where("data_split = 'train'"), QUICK, (models.LOGISTIC,)
+        rows.where("data_split = 'train'"), SETTINGS, (models.LOGISTIC,)
     )[models.LOGISTIC]
     return importance.permutation_importance(model, rows.where("data_split = 'test'"))
 
@@ -607,11 +624,94 @@ def logistic_importance(spark, folder):
 def batch_scores(spark, folder):
     """All loans scored by a model that was stored and loaded again."""
     rows, target = prepared(spark, folder), run_folder(spark)
-    fitted = models.fit_models(rows.where("data_split = 'train'"), QUICK, (models.LOGISTIC,))
+    fitted = models.fit_models(rows.where("data_split = 'train'"), SETTINGS, (models.LOGISTIC,))
     fitted[models.LOGISTIC].save(target)
     return models.RiskModel.load(spark, target).score(rows).select("loan_id", "score")
 
 
+@registered
+def stored_model_agreement(spark, folder):
+    """Loans whose score differs between a model and its stored copy."""
+    rows, target = prepared(spark, folder), run_folder(spark)
+    fitted = models.fit_models(rows.where("data_split = 'train'"), SETTINGS, (models.LOGISTIC,))
+    fitted[models.LOGISTIC].save(target)
+    again = models.RiskModel.load(spark, target)
+    both = again.score(fitted[models.LOGISTIC].score(rows, "score"), "stored")
+    return both.agg(
+        F.count(F.lit(1)).alias("loans"), F.count_if(F.col("score") != F.col("stored")).alias("differing")
+    )
+
+
+@registered
+def logistic_score_check(spark, folder):
+    """Loans whose logistic score is not the one its coefficients give."""
+    rows = prepared(spark, folder)
+    model = models.fit_models(rows.where("data_split = 'train'"), SETTINGS, (models.LOGISTIC,))[models.LOGISTIC]
+    fitted = model.pipeline.stages[-1]
+    values = vector_to_array(features.FEATURES)
+    weights = F.array(*[F.lit(float(w)) for w in fitted.coefficients])
+    margin = F.aggregate(
+        F.zip_with(values, weights, lambda x, w: x * w), F.lit(float(fitted.intercept)), lambda a, x: a + x
+    )
+    scored = model.pipeline.transform(rows).select(
+        vector_to_array(model.probabilities[0])[1].alias("score"), (1 / (1 + F.exp(-margin))).alias("own")
+    )
+    return scored.agg(
+        F.count(F.lit(1)).alias("loans"),
+        F.count_if(F.abs(F.col("score") - F.col("own")) > 1e-12).alias("differing"),
+    )
+
+
+def encoded_training_rows(spark: SparkSession, folder: str):
+    train = prepared(spark, folder).where("data_split = 'train'")
+    fitted = features.fit_preprocessing(train)
+    return fitted, fitted.transform(train)
+
+
+@registered
+def scaled_feature_moments(spark, folder):
+    """Mean and sample deviation of the scaled features on the training loans."""
+    _, rows = encoded_training_rows(spark, folder)
+    cells = rows.select(F.posexplode(vector_to_array("__scaled")).alias("place", "value"))
+    names = F.array(*[F.lit(n) for n in features.NUMERIC_FEATURES])
+    found = cells.groupBy("place").agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("deviation")
+    )
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return found.select(
+        F.element_at(names, F.col("place") + 1).alias("feature"),
+        (F.round("mean", 6) + F.lit(0.0)).alias("mean"), F.round("deviation", 6).alias("deviation"),
+    )
+
+
+@registered
+def encoded_category_counts(spark, folder):
+    """How many training loans have a one for each category."""
+    fitted, rows = encoded_training_rows(spark, folder)
+    indexer = next(s for s in fitted.stages if isinstance(s, StringIndexerModel))
+
+    def counted(name: str, labels: list[str]):
+        known = F.array(*[F.lit(v) for v in labels])
+        return F.transform(
+            vector_to_array(f"__onehot_{name}"),
+            lambda x, i: F.struct(
+                F.lit(name).alias("feature"), F.element_at(known, i + 1).alias("category"), x.alias("one")
+            ),
+        )
+
+    cells = F.concat(*map(counted, features.CATEGORICAL_FEATURES, indexer.labelsArray))
+    found = rows.select(F.explode(cells).alias("cell")).groupBy("cell.feature", "cell.category")
+    return found.agg(F.sum("cell.one").cast("bigint").alias("ones"))
+
+
+@registered
+def fold_sizes(spark, folder):
+    """Training loans of each class in each calibration fold."""
+    train = prepared(spark, folder).where("data_split = 'train'")
+    folds = models.folds_by_class(train, SETTINGS).join(train.select("loan_id", "defaulted"), "loan_id")
+    return folds.groupBy("defaulted", F.col("__fold").alias("fold")).agg(F.count(F.lit(1)).alias("loans"))
+
+
 # Files, export and the whole run
 
 
@@ -625,8 +725,43 @@ def ratings_csv_round_trip(spark, folder):
     """Ratings written as ordered CSV and read back with their declared types."""
     target = run_folder(spark)
     sinks.write_clean_csv({"ratings": shapes.ratings(spark, folder)}, target)
-    back = files.read_typed_csv(spark, f"{target}/credit_ratings_clean", schemas.RATINGS)
-    return back.drop("from_rating", "to_rating")
+    return files.read_typed_csv(spark, f"{target}/credit_ratings_clean", schemas.RATINGS)
+
+
+@registered
+def source_file_counts(spark, folder):
+    """Rows of the five supplied files, written as CSV and read with their declared types."""
+    base, target = loans(spark, folder), run_folder(spark)
+    frames = {
+        "loans": base,
+        "ratings": shapes.ratings(spark, folder),
+        "portfolio": shapes.macro(spark, folder),
+        "stress": shapes.stress(base),
+        "vintage": shapes.vintage(base),
+    }
+    for name, df in frames.items():
+        table = schemas.SOURCE_TABLES[name]
+        df.select(*[F.col(c).cast(k) for c, k in table.fields]).write.csv(
+            f"{target}/{schemas.SOURCE_FILES[name]}", header=True
+        )
+    return sinks.load_counts(pipeline.land(files.read_sources(spark, target), target))
+
+
+@registered
+def stripped_texts(spark, folder):
+    """Texts with white space of several kinds around them, stripped again."""
+    padded = loans(spark, folder).select(
+        *[F.concat(F.lit(" \t"), F.col(n), F.lit("\r\n ")).alias(n) for n in enrich.TEXT_COLUMNS]
+    )
+    return enrich.trim_text(padded)
+
+
+@registered
+def view_totals(spark, folder):
+    """Totals read back through a registered view of a stored table."""
+    scored = with_predictions(spark, folder, with_sector=False).select("data_split", "ead")
+    sinks.register_views({"tranche_scored": sinks.store_table(scored, run_folder(spark), "scored")})
+    return spark.sql("SELECT data_split, count(*) AS loans, sum(ead) AS ead FROM tranche_scored GROUP BY data_split")
 
 
 @registered
@@ -645,9 +780,9 @@ def published_manifest(spark, folder):
         for name, df in raw.items()
     }
     plan = pipeline.Plan(
-        shapes.TRAIN_END, shapes.VALIDATION_END, shapes.CUTOFF, QUICK,
+        shapes.TRAIN_END, shapes.VALIDATION_END, shapes.CUTOFF, SETTINGS,
         expected_export={"Fact_Loans": shapes.star(spark, folder, "orders").count()},
     )
     target = run_folder(spark)
     pipeline.run_tables(raw, f"{target}/tables", f"{target}/published", plan)
-    return spark.read.parquet(f"{target}/published/Manifest")
+    return spark.read.parquet(f"{versions.current(spark, f'{target}/published')}/Manifest")

@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tranche.learning.features import MODEL_FEATURES
 from tranche.learning.models import MODEL_NAMES, Settings
 from tranche.learning.training import store_models, train_and_score
 from tranche.operators import enrich, profile, rules, scoring
 from tranche.plans import export, reports
-from tranche.schemas import SOURCE_TABLES, TABLES
+from tranche.schemas import POST_OUTCOME, RISK_OUTPUTS, SOURCE_TABLES, TABLES
+from tranche.sources import versions
 from tranche.sources.files import read_sources
 from tranche.sources.sinks import (
     load_counts,
@@ -37,10 +39,32 @@ class Plan:
     expected_export: dict[str, int] = field(default_factory=dict)
 
 
-def audit_report(raw: dict[str, DataFrame], cutoff: str) -> DataFrame:
-    """Profiles of all supplied tables and the loan checks, in the profile's long form."""
+def portfolio_facts(loans: DataFrame, plan: Plan) -> DataFrame:
+    """Portfolio summary, class balance and the scope of modelling, in the profile's long form."""
+    summary = profile.portfolio_summary(loans)
+    whole = profile.WHOLE_TABLE
+    facts = [
+        profile.fact(whole, name, text=F.col(name)) if "date" in name
+        else profile.fact(whole, name, F.col(name))
+        for name in summary.columns
+    ]
+    facts += [
+        profile.fact(whole, "scope_train_before", text=F.lit(plan.train_end)),
+        profile.fact(whole, "scope_validation_before", text=F.lit(plan.validation_end)),
+        profile.fact(whole, "scope_last_reported_date", text=F.lit(plan.cutoff)),
+        *[profile.fact(n, "scope_model_input", text=F.lit("known at origination")) for n in MODEL_FEATURES],
+        *[profile.fact(n, "scope_excluded", text=F.lit("known after the outcome")) for n in POST_OUTCOME],
+        *[profile.fact(n, "scope_excluded", text=F.lit("output of another model")) for n in RISK_OUTPUTS],
+    ]
+    return profile.stacked(summary, facts).select(F.lit("clean_loans").alias("table_name"), "*")
+
+
+def audit_report(raw: dict[str, DataFrame], clean: DataFrame, plan: Plan) -> DataFrame:
+    """Profiles of all supplied tables, the loan checks, and what the portfolio and the models'
+    scope are, in the profile's long form."""
     profiles = [profile.profile_table(df, name) for name, df in raw.items()]
-    checks = rules.loan_checks(raw["loans"], cutoff).select(
+    profiles.append(portfolio_facts(clean, plan))
+    checks = rules.loan_checks(raw["loans"], plan.cutoff).select(
         F.lit("loans").alias("table_name"),
         F.lit(profile.WHOLE_TABLE).alias("column_name"),
         F.col("check_name").alias("metric"),
@@ -50,10 +74,19 @@ def audit_report(raw: dict[str, DataFrame], cutoff: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*profiles, checks])
 
 
+def land(raw: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The supplied tables as typed Parquet, every cell read once; a cell that does not fit stops here."""
+    landed = {}
+    for name, df in raw.items():
+        df.write.parquet(f"{folder}/landed/{name}")
+        landed[name] = df.sparkSession.read.schema(df.schema).parquet(f"{folder}/landed/{name}")
+    return landed
+
+
 def clean_and_store(
     raw: dict[str, DataFrame], folder: str, cutoff: str = enrich.REPORTED_CUTOFF
 ) -> dict[str, DataFrame]:
-    """Clean tables under their model names, stored and read back."""
+    """Clean tables under their model names, stored and read back; stops if a constraint is broken."""
     cleaned = enrich.clean_sources(raw, cutoff)
     stored = {"loans": store_loans(cleaned["loans"], folder)}
     for name in ("ratings", "portfolio", "stress", "vintage"):
@@ -85,7 +118,7 @@ def train_and_store(
 
 
 def reporting_views(tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Grouped views stored as tables, the others left as views; all usable from SQL."""
+    """Grouped views stored as tables, the others as plans over the stored tables."""
     fact = tables["loan_fact"]
     views = {
         name: store_table(build(fact), folder, name)
@@ -104,7 +137,6 @@ def reporting_views(tables: dict[str, DataFrame], folder: str) -> dict[str, Data
         "rating_migration": reports.rating_migration(tables["credit_ratings"]),
         "vintage_curves": reports.vintage_curves(tables["vintage_analysis"]),
     }
-    register_views({**tables, **views})
     return views
 
 
@@ -128,25 +160,45 @@ def validate_run(
     lacking = rules.missing_values_of(tables["model_metrics"], "model_name", plan.models).collect()
     if lacking:
         raise ValueError(f"metrics lack models {[r['model_name'] for r in lacking]}")
-    listed = spark.read.parquet(f"{published}/Manifest")
+    version = versions.current(spark, published)
+    listed = spark.read.parquet(f"{version}/Manifest")
     written = export.row_counts(
-        {name: spark.read.parquet(f"{published}/{name}") for name in export.SHEETS}
+        {name: spark.read.parquet(f"{version}/{name}") for name in export.SHEETS}
     )
     if {r["sheet_name"]: r["row_count"] for r in listed.collect()} != written:
         raise ValueError("published tables do not match their manifest")
-    return integrity.withColumn("status", F.lit("PASS"))
+    # Row counts of all tables, supplied and published, beside the integrity figures
+    counts = load_counts({name: tables[name] for name in sorted(tables)}).unionByName(
+        listed.select(F.col("sheet_name").alias("table_name"), F.col("row_count").alias("rows"))
+    )
+    listed = counts.agg(F.sort_array(F.collect_list(F.struct("table_name", "rows"))).alias("row_counts"))
+    return integrity.crossJoin(F.broadcast(listed)).withColumn("status", F.lit("PASS"))
 
 
 def run_tables(
     raw: dict[str, DataFrame], folder: str, published: str, plan: Plan = Plan()
 ) -> DataFrame:
-    """All steps on supplied tables; returns the validation row."""
-    write_json(audit_report(raw, plan.cutoff), f"{folder}/data_audit_report")
-    tables = clean_and_store(raw, folder, plan.cutoff)
-    tables |= train_and_store(tables, folder, plan)
-    reporting_views(tables, folder)
-    export.publish(export.export_tables(tables), published, plan.expected_export, plan.models)
-    return validate_run(tables, plan, published)
+    """All steps on supplied tables; returns the validation row.
+
+    Everything is written to a new version of ``folder``, which is put in use when all of it is
+    checked. Whatever fails before, the version in use stays.
+    """
+    spark = next(iter(raw.values())).sparkSession
+    stage = versions.start(folder)
+    try:
+        raw = land(raw, stage)
+        tables = clean_and_store(raw, stage, plan.cutoff)
+        write_json(audit_report(raw, tables["loans"], plan), f"{stage}/data_audit_report")
+        tables |= train_and_store(tables, stage, plan)
+        views = reporting_views(tables, stage)
+        export.publish(export.export_tables(tables), published, plan.expected_export, plan.models)
+        status = validate_run(tables, plan, published)
+        versions.commit(spark, folder, stage)
+        register_views({**tables, **views})
+    except Exception:
+        versions.discard(spark, stage)
+        raise
+    return status
 
 
 def run(
@@ -155,8 +207,9 @@ def run(
     """All steps from the supplied CSV files, with the clean tables also written as CSV."""
     raw = read_sources(spark, sources)
     status = run_tables(raw, folder, published, plan)
+    version = versions.current(spark, folder)
     stored = {
-        name: spark.read.parquet(f"{folder}/{table.name}") for name, table in SOURCE_TABLES.items()
+        name: spark.read.parquet(f"{version}/{table.name}") for name, table in SOURCE_TABLES.items()
     }
-    write_clean_csv(stored, f"{folder}/clean_csv")
+    write_clean_csv(stored, f"{version}/clean_csv")
     return status

@@ -172,7 +172,7 @@ def vintage_curves(vintage: DataFrame, selected: tuple[str, ...] = ()) -> DataFr
 
 
 def sector_concentration(loans: DataFrame) -> DataFrame:
-    """Which sectors combine a high default rate with large exposure?"""
+    """Sectors ranked by observed default rate, each with its share of all exposure."""
     base = loans.groupBy("sector").agg(
         row_count().alias("loans"), F.sum("ead").alias("total_ead"), default_rate().alias("rate")
     )
@@ -187,7 +187,7 @@ def sector_concentration(loans: DataFrame) -> DataFrame:
 
 
 def decile_separation(lift: DataFrame) -> DataFrame:
-    """Does the score separate risk on the test period?"""
+    """Per decile of the test loans: mean score, observed rate and lift."""
     return lift.select(
         "risk_decile",
         "loan_count",
@@ -229,7 +229,7 @@ def threshold_tradeoffs(thresholds: DataFrame, predictions: DataFrame) -> DataFr
 
 
 def review_queue(fact: DataFrame, per_sector: int = 10) -> DataFrame:
-    """Which test applications should underwriting review first, per sector?"""
+    """The riskiest test loans of each sector, by score and then exposure."""
     flagged = fact.where(
         (F.col("underwriting_action") == c.REVIEW_ACTION) & (F.col("data_split") == "test")
     ).select(
@@ -245,7 +245,7 @@ def review_queue(fact: DataFrame, per_sector: int = 10) -> DataFrame:
 
 
 def yearly_default_rate(loans: DataFrame) -> DataFrame:
-    """How did default rates change by origination year?"""
+    """Default rate per origination year and its change from the year before."""
     yearly = loans.groupBy(F.year("origination_date").alias("origination_year")).agg(
         row_count().alias("loans"), default_rate().alias("rate")
     )
@@ -259,7 +259,7 @@ def yearly_default_rate(loans: DataFrame) -> DataFrame:
 
 
 def sector_exposure_quartiles(loans: DataFrame) -> DataFrame:
-    """How does risk vary across exposure quartiles within each sector?"""
+    """Counts, scores and default rates of four exposure groups in every sector."""
     cut = assign_buckets(
         loans.select("loan_id", "sector", "ead", "defaulted"),
         "ead", "loan_id", 4, "sector_ead_quartile", upper=ntile_upper, groups=["sector"],
@@ -272,7 +272,7 @@ def sector_exposure_quartiles(loans: DataFrame) -> DataFrame:
 
 
 def stress_increments(stress: DataFrame) -> DataFrame:
-    """Which scenarios and sectors add the most expected loss?"""
+    """Expected loss added by each scenario and sector, largest first."""
     return stress_scenarios(stress).where(F.col("scenario") != "baseline").select(
         "scenario",
         "sector",
@@ -284,7 +284,7 @@ def stress_increments(stress: DataFrame) -> DataFrame:
 
 
 def downgrade_acceleration(ratings: DataFrame) -> DataFrame:
-    """Are rating downgrades accelerating by sector?"""
+    """Downgrade share per sector and year, with its first and second difference."""
     earlier = F.lag("downgrade_rate").over(Window.partitionBy("sector").orderBy("year"))
     return rating_migration(ratings).withColumn("prior", earlier).select(
         "year",
@@ -295,7 +295,7 @@ def downgrade_acceleration(ratings: DataFrame) -> DataFrame:
 
 
 def vintages_at_month(vintage: DataFrame, month: int = 36) -> DataFrame:
-    """Which vintages have the highest cumulative default rate at a given age?"""
+    """Vintages of one age by cumulative default rate."""
     return vintage.where(F.col("months_on_books") == month).select(
         "vintage",
         "n_loans_originated",
@@ -307,7 +307,7 @@ def vintages_at_month(vintage: DataFrame, month: int = 36) -> DataFrame:
 
 
 def rolling_trend(portfolio: DataFrame, months: int = 12) -> DataFrame:
-    """What is the rolling portfolio risk trend? The first months use what there is."""
+    """Mean risk and summed defaults of the last months; the first months use what there is."""
     frame = Window.orderBy("date").rowsBetween(1 - months, Window.currentRow)
     return portfolio.select(
         "date",

@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql.types import StructType
+
 
 @dataclass(frozen=True)
 class Table:
-    """One table: a DDL column list, its key, nullable columns and row rules."""
+    """One table: its columns as Spark DDL, its key, nullable columns and row rules."""
 
     name: str
     ddl: str
@@ -25,12 +27,7 @@ class Table:
 
     @property
     def fields(self) -> list[tuple[str, str]]:
-        pairs = []
-        for line in self.ddl.strip().splitlines():
-            for part in line.strip().rstrip(";").split(";"):
-                name, kind = part.split()
-                pairs.append((name, kind))
-        return pairs
+        return [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(self.ddl).fields]
 
     @property
     def required(self) -> list[str]:
@@ -59,21 +56,21 @@ POST_OUTCOME = ("default_date", "survival_months", "recovery_rate", "loss_given_
 RISK_OUTPUTS = ("pd_annual", "lgd", "el", "unexpected_loss", "rwa")
 
 RAW_LOAN_DDL = """
-loan_id string; origination_date date; maturity_date date; maturity_months smallint
-sector string; loan_type string; collateral string; initial_rating string
-credit_score smallint; ead decimal(18,2); coupon_rate decimal(10,6); leverage decimal(10,6)
-interest_coverage decimal(10,6); debt_to_equity decimal(10,6); pd_annual decimal(12,9)
-lgd decimal(10,7); el decimal(18,2); unexpected_loss decimal(18,2); rwa decimal(18,2)
-defaulted smallint; default_date date; survival_months smallint
-recovery_rate decimal(10,7); loss_given_default decimal(18,2)
+loan_id string, origination_date date, maturity_date date, maturity_months smallint,
+sector string, loan_type string, collateral string, initial_rating string,
+credit_score smallint, ead decimal(18,2), coupon_rate decimal(10,6), leverage decimal(10,6),
+interest_coverage decimal(10,6), debt_to_equity decimal(10,6), pd_annual decimal(12,9),
+lgd decimal(10,7), el decimal(18,2), unexpected_loss decimal(18,2), rwa decimal(18,2),
+defaulted smallint, default_date date, survival_months smallint,
+recovery_rate decimal(10,7), loss_given_default decimal(18,2)
 """
 
 DERIVED_LOAN_DDL = """
-origination_gdp_growth decimal(10,6); origination_unemployment decimal(10,6)
-origination_policy_rate decimal(10,6); origination_credit_spread_bps decimal(10,3)
-origination_year smallint; origination_month smallint; origination_quarter string
-default_loss_amount decimal(18,2); existing_expected_loss_rate decimal(12,9)
-credit_score_band string; ead_band string; reported_maturity_is_capped smallint
+origination_gdp_growth decimal(10,6), origination_unemployment decimal(10,6),
+origination_policy_rate decimal(10,6), origination_credit_spread_bps decimal(10,3),
+origination_year smallint, origination_month smallint, origination_quarter string,
+default_loss_amount decimal(18,2), existing_expected_loss_rate decimal(12,9),
+credit_score_band string, ead_band string, reported_maturity_is_capped smallint
 """
 
 DEFAULT_FIELDS = ("default_date", "recovery_rate", "loss_given_default")
@@ -103,7 +100,7 @@ RAW_LOANS = Table("loans", RAW_LOAN_DDL, ("loan_id",), frozenset(DEFAULT_FIELDS)
 
 LOANS = Table(
     "loans",
-    RAW_LOAN_DDL.strip() + "\n" + DERIVED_LOAN_DDL.strip(),
+    f"{RAW_LOAN_DDL}, {DERIVED_LOAN_DDL}",
     ("loan_id",),
     frozenset(DEFAULT_FIELDS),
     merged(
@@ -118,9 +115,9 @@ LOANS = Table(
 RATINGS = Table(
     "credit_ratings",
     """
-    issuer_id string; sector string; year smallint; from_rating string; to_rating string
-    upgraded smallint; downgraded smallint; defaulted smallint; notches_moved smallint
-    """,
+    issuer_id string, sector string, year smallint, from_rating string, to_rating string,
+    upgraded smallint, downgraded smallint, defaulted smallint, notches_moved smallint
+""",
     ("issuer_id", "year"),
     checks=merged(flag("upgraded"), flag("downgraded"), flag("defaulted")),
 )
@@ -128,12 +125,12 @@ RATINGS = Table(
 PORTFOLIO = Table(
     "portfolio_metrics",
     """
-    date date; n_active_loans int; total_ead decimal(20,2); total_el decimal(20,2)
-    total_rwa decimal(20,2); el_rate decimal(12,9); avg_pd decimal(12,9); avg_lgd decimal(10,7)
-    var_99 decimal(20,2); cvar_995 decimal(20,2); sector_hhi decimal(10,7); new_defaults int
-    gdp_growth decimal(10,6); unemployment decimal(10,6); policy_rate decimal(10,6)
+    date date, n_active_loans int, total_ead decimal(20,2), total_el decimal(20,2),
+    total_rwa decimal(20,2), el_rate decimal(12,9), avg_pd decimal(12,9), avg_lgd decimal(10,7),
+    var_99 decimal(20,2), cvar_995 decimal(20,2), sector_hhi decimal(10,7), new_defaults int,
+    gdp_growth decimal(10,6), unemployment decimal(10,6), policy_rate decimal(10,6),
     credit_spread_bps decimal(10,3)
-    """,
+""",
     ("date",),
     checks=merged(
         at_least("n_active_loans", "0"),
@@ -153,13 +150,13 @@ PORTFOLIO = Table(
 STRESS = Table(
     "stress_scenarios",
     """
-    scenario string; gdp_shock_pp decimal(10,6); unemp_shock_pp decimal(10,6)
-    rate_shock_pp decimal(10,6); credit_spread_bps int; sector string; base_pd decimal(12,9)
-    stressed_pd decimal(12,9); pd_uplift_pp decimal(10,6); pd_multiplier decimal(10,6)
-    base_lgd decimal(10,7); stressed_lgd decimal(10,7); total_ead decimal(20,2)
-    expected_loss_base decimal(20,2); expected_loss_stress decimal(20,2)
+    scenario string, gdp_shock_pp decimal(10,6), unemp_shock_pp decimal(10,6),
+    rate_shock_pp decimal(10,6), credit_spread_bps int, sector string, base_pd decimal(12,9),
+    stressed_pd decimal(12,9), pd_uplift_pp decimal(10,6), pd_multiplier decimal(10,6),
+    base_lgd decimal(10,7), stressed_lgd decimal(10,7), total_ead decimal(20,2),
+    expected_loss_base decimal(20,2), expected_loss_stress decimal(20,2),
     el_increase_pct decimal(12,6)
-    """,
+""",
     ("scenario", "sector"),
     checks=merged(
         between("base_pd", "0", "1"),
@@ -176,11 +173,11 @@ STRESS = Table(
 VINTAGE = Table(
     "vintage_analysis",
     """
-    vintage string; months_on_books smallint; n_loans_originated int; n_active int
-    n_defaulted_cumulative int; cumulative_default_rate decimal(12,9)
-    marginal_default_rate decimal(12,9); avg_pd_at_origination decimal(12,9)
+    vintage string, months_on_books smallint, n_loans_originated int, n_active int,
+    n_defaulted_cumulative int, cumulative_default_rate decimal(12,9),
+    marginal_default_rate decimal(12,9), avg_pd_at_origination decimal(12,9),
     avg_credit_score decimal(10,3)
-    """,
+""",
     ("vintage", "months_on_books"),
     checks=merged(
         between("months_on_books", "1", "360"),
@@ -196,12 +193,12 @@ VINTAGE = Table(
 PREDICTIONS = Table(
     "loan_predictions",
     """
-    loan_id string; origination_date date; sector string; initial_rating string
-    credit_score smallint; ead decimal(18,2); lgd decimal(10,7); pd_annual decimal(12,9)
-    defaulted smallint; data_split string; model_name string; default_probability decimal(12,9)
-    operating_threshold decimal(8,6); predicted_default smallint; risk_band string
-    risk_decile smallint; underwriting_action string; term_risk_loss_proxy decimal(20,2)
-    """,
+    loan_id string, origination_date date, sector string, initial_rating string,
+    credit_score smallint, ead decimal(18,2), lgd decimal(10,7), pd_annual decimal(12,9),
+    defaulted smallint, data_split string, model_name string, default_probability decimal(12,9),
+    operating_threshold decimal(8,6), predicted_default smallint, risk_band string,
+    risk_decile smallint, underwriting_action string, term_risk_loss_proxy decimal(20,2)
+""",
     ("loan_id",),
     checks=merged(
         flag("defaulted"),
@@ -217,30 +214,30 @@ PREDICTIONS = Table(
 METRICS = Table(
     "model_metrics",
     """
-    model_name string; split string; threshold_type string; threshold decimal(8,6)
-    roc_auc decimal(12,9); pr_auc decimal(12,9); precision decimal(12,9); recall decimal(12,9)
-    f1 decimal(12,9); specificity decimal(12,9); brier_score decimal(12,9)
-    approval_rate decimal(12,9); true_negative bigint; false_positive bigint
-    false_negative bigint; true_positive bigint
-    """,
+    model_name string, split string, threshold_type string, threshold decimal(8,6),
+    roc_auc decimal(12,9), pr_auc decimal(12,9), precision decimal(12,9), recall decimal(12,9),
+    f1 decimal(12,9), specificity decimal(12,9), brier_score decimal(12,9),
+    approval_rate decimal(12,9), true_negative bigint, false_positive bigint,
+    false_negative bigint, true_positive bigint
+""",
     ("model_name", "split", "threshold_type"),
 )
 
 THRESHOLDS = Table(
     "threshold_analysis",
     """
-    model_name string; split string; threshold decimal(8,6); precision decimal(12,9)
-    recall decimal(12,9); f1 decimal(12,9); specificity decimal(12,9); approval_rate decimal(12,9)
-    true_negative bigint; false_positive bigint; false_negative bigint; true_positive bigint
-    default_loss_exposure decimal(22,2); rejected_good_ead decimal(22,2)
-    opportunity_cost_rate_assumption decimal(10,7); total_cost_proxy decimal(22,2)
-    """,
+    model_name string, split string, threshold decimal(8,6), precision decimal(12,9),
+    recall decimal(12,9), f1 decimal(12,9), specificity decimal(12,9), approval_rate decimal(12,9),
+    true_negative bigint, false_positive bigint, false_negative bigint, true_positive bigint,
+    default_loss_exposure decimal(22,2), rejected_good_ead decimal(22,2),
+    opportunity_cost_rate_assumption decimal(10,7), total_cost_proxy decimal(22,2)
+""",
     ("model_name", "split", "threshold"),
 )
 
 IMPORTANCE = Table(
     "feature_importance",
-    "model_name string; feature string; importance_mean double; importance_std double",
+    "model_name string, feature string, importance_mean double, importance_std double",
     ("model_name", "feature"),
 )
 
