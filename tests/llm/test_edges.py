@@ -7,7 +7,7 @@ from tranche.llm.components import components
 from tranche.session import run_folder
 
 LABELS = "doc_id long, quality int, toxic int"
-EVERY = F.lit(True)
+
 
 
 def test_odd_rows(spark, odd_documents):
@@ -67,7 +67,7 @@ def test_unusable_labels(spark, documents, nothing):
     labels = spark.createDataFrame([(1, None, None), (2, 1, 1), (2, 0, 0), (None, 1, 1), (9999, 1, 1)], LABELS)
     for table in (documents, nothing):
         for learn, scored in ((quality.learn, quality.scored), (toxicity.learn, toxicity.scored)):
-            rows, name = scored(table, learn(table, labels, EVERY))
+            rows, name = scored(table, learn(table, labels, F.lit(True)))
             assert rows.count() == table.count() and rows.where(f"{name} is null or {name} < 0 or {name} > 1").count() == 0
 
 

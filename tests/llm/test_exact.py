@@ -1,5 +1,6 @@
 """Each operator against a plain version on a small table."""
 
+import functools
 import hashlib
 import zlib
 from collections import Counter, defaultdict
@@ -168,13 +169,18 @@ def test_token_files(spark, documents, texts):
         assert mask.to_pylist() == [j < real for j in range(64)]
 
 
+@functools.cache
+def one_encoder():
+    return tokens.Encoder(catalog.tokenizer_definition(), 2)
+
+
 CHARACTERS = st.sampled_from([*"aZ1é.,'  \n\t\r \u0085ß½²ªstrevmld!?€字😀", "'s", "'re", "'ll", " '", " 's", "  "])
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(CHARACTERS, max_size=14).map("".join), max_size=5))
 def test_encoder(found):
-    encoder = test_encoder.__dict__.setdefault("encoder", tokens.Encoder(catalog.tokenizer_definition(), 2))
+    encoder = one_encoder()
     for text, ids in zip(found, encoder.encode(pa.array(found, pa.string()))):
         assert ids.tolist() == [*encoder.library.encode(text, add_special_tokens=False).ids, 2]
 
