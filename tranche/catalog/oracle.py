@@ -558,11 +558,11 @@ MODEL_NUMBERS = {
     "debt_service_pressure":
         f"CAST(coupon_rate AS DOUBLE) * CAST(leverage AS DOUBLE) / {COVERAGE}",
 }
-# Three models on two splits plus the chosen cut-off on both; 99 cut-offs; 18 features.
+# One model on two splits plus the chosen cut-off on both; 99 cut-offs; 18 features.
 EXPORT_COUNTS = {
     "Fact_Loans": "SELECT count(*) FROM loans",
     "Fact_Thresholds": "SELECT CAST(99 AS BIGINT)",
-    "Fact_ModelMetrics": "SELECT CAST(8 AS BIGINT)",
+    "Fact_ModelMetrics": "SELECT CAST(4 AS BIGINT)",
     "Fact_Portfolio": "SELECT count(*) FROM macro",
     "Fact_Stress": f"SELECT {len(SCENARIOS)} * count(DISTINCT sector) FROM loans",
     "Fact_Vintage": "SELECT count(*) FROM vintage",

@@ -766,7 +766,7 @@ def view_totals(spark, folder):
 
 @registered
 def published_manifest(spark, folder):
-    """The whole run, from supplied tables to the published export and its manifest."""
+    """The whole run, from supplied tables to the published export and its manifest, with one model."""
     base = loans(spark, folder)
     raw = {
         "loans": base,
@@ -780,7 +780,7 @@ def published_manifest(spark, folder):
         for name, df in raw.items()
     }
     plan = pipeline.Plan(
-        shapes.TRAIN_END, shapes.VALIDATION_END, shapes.CUTOFF, SETTINGS,
+        shapes.TRAIN_END, shapes.VALIDATION_END, shapes.CUTOFF, SETTINGS, (models.LOGISTIC,),
         expected_export={"Fact_Loans": shapes.star(spark, folder, "orders").count()},
     )
     target = run_folder(spark)
