@@ -152,7 +152,7 @@ def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("long").alias("rep"), "text")
     # A list of ids is broadcast if a count proves it short; else both sides are shuffled.
     rows = rows.join(small_side(wanted.select("rep").distinct()), "rep", "left_semi")
-    return rows.select("text").mapInArrow(run, "cls long, items array<long>").dropDuplicates(["cls"])
+    return rows.select("text").mapInArrow(run, "cls long, items array<long>")
 
 
 def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -183,15 +183,21 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
         rarest(documents, size, counters).repartition("shingle").dropDuplicates(["shingle", "cls"])
         .select(
             "cls",
-            F.min("cls").over(own).alias("pivot"),
-            F.max("cls").over(own).alias("last"),
+            F.min("cls").over(own).alias("least"),
+            F.max("cls").over(own).alias("most"),
             F.xxhash64(F.bit_xor(F.xxhash64("cls")).over(own), F.min("cls").over(own), F.count("*").over(own)).alias("region"),
         )
-        .where("pivot != last").select("region", "cls", "pivot").distinct()
+        .where("least != most").select("region", "cls").distinct()
     )
-    regions = stored(regions, "regions0")
-    wanted = regions.select("cls").distinct().join(classes, "cls")
-    sets = stored(sets_of(documents, wanted, size), "sets")
+    # In a region, by size: where the next class is too much larger, no link leads across.
+    sized = regions.join(classes.select("cls", "n"), "cls")
+    own = Window.partitionBy("region").orderBy("n", "cls")
+    apart = F.coalesce((100 * F.lag("n").over(own) < PERCENT * F.col("n")).cast("int"), F.lit(1))
+    sized = sized.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(own))
+    regions = sized.select(F.xxhash64("region", "chain").alias("region"), "cls")
+    own = Window.partitionBy("region")
+    regions = regions.select("region", "cls", F.min("cls").over(own).alias("pivot"), F.count("*").over(own).alias("n"))
+    regions = stored(regions.where("n > 1").drop("n"), "regions0")
 
     number = 0
     compared: DataFrame | None = None
@@ -204,13 +210,20 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         sizes = classes.select("cls", "n")
         pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        pairs = pairs.where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-        both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+        pairs = stored(
+            pairs.where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")), f"pairs{number}"
+        )
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
+        sets = stored(sets_of(documents, wanted, size), f"sets{number}")
+        # Sets move once to meet those of the other side; lists of pairs are broadcast if small.
+        left = sets.toDF("a", "sa").join(small_side(pairs), "a")
+        right = sets.toDF("b", "sb").join(small_side(pairs.select("b").distinct()), "b", "left_semi")
+        both = left.join(right, "b")
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         both = both.select("a", "b", "na", "nb", common.alias("common"))
         union = F.col("na") + F.col("nb") - F.col("common")
         stored(
-            both.select("a", "b", (1 - F.col("common") / union).alias("distance"),
+            both.distinct().select("a", "b", (1 - F.col("common") / union).alias("distance"),
                         (100 * F.col("common") >= PERCENT * union).alias("linked")),
             f"compared/round={number}",
         )
