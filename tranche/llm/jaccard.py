@@ -5,15 +5,17 @@
    all others. So the outermost regions are made by pivots of a single shingle: a class belongs to the
    region of each of its rarest shingles, as many as it must have so that two linked classes meet in
    at least one region (n - ceil(0.75 n) + 1 of n). What is rare is told by a table of counters of
-   fixed size that counts the shingles of all documents; it only orders them. Regions with the same
-   classes are one.
+   fixed size that counts the shingles of all documents; it only orders them. Of a class in a region its
+   tail is known: how many of its shingles are not rarer than the region's. In the region of the rarest
+   shingle that two linked sets share, both tails hold all they share: 3/7 of both sizes or more. Pairs
+   of shorter tails are left to other regions. Regions with the same classes are one.
 3. In a region every class is compared with a pivot class. A region whose classes are by now all
    connected is done: that two of them are linked too changes no component.
 4. What is left is joined recursively. A large region gets several pivot classes; every class goes to
    the cell of its nearest pivot, and also to each cell whose pivot is at most twice the radius farther
-   (boundary documents); the pivots themselves are done. A small region, or a cell that pivots do not
-   make smaller, is compared pair by pair, between classes that are not connected yet and whose
-   distances from the pivot differ by at most the radius (triangle inequality).
+   (boundary documents); the pivots themselves are done. A small region, or one that pivots do not take
+   apart, is compared pair by pair, between classes that are not connected yet, whose tails allow a link
+   and whose distances from the pivot differ by at most the radius (triangle inequality).
 5. Links found make the components.
 
 Every comparison is an exact count over the shingle sets, held as 64-bit hashes.
@@ -42,8 +44,8 @@ COUNTERS_ROW = 1 << 10
 #: Regions of at most so many classes are compared pair by pair.
 LEAF = 64
 PIVOTS = 8
-#: A cell with more than this share of its region's classes is not split on.
-SHRINK = 0.7
+#: A region whose cells hold more than so many times its classes is not taken apart.
+SPREAD = 2.0
 
 
 def slot(hashes: np.ndarray) -> np.ndarray:
@@ -111,7 +113,8 @@ def surveyed(documents: DataFrame, size: int, folder: str) -> tuple[DataFrame, n
 
 
 def rarest(documents: DataFrame, size: int, counters: np.ndarray) -> DataFrame:
-    """(shingle, cls): of each class the shingles whose regions it belongs to."""
+    """(shingle, cls, n, tail): of each class the shingles whose regions it belongs to, its size, and
+    its shingles from this one on."""
     shared = documents.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,12 +134,20 @@ def rarest(documents: DataFrame, size: int, counters: np.ndarray) -> DataFrame:
                 place = np.arange(len(doc)) - np.searchsorted(doc, doc)
                 n = counts[doc]
                 short = place < n - (PERCENT * n + 99) // 100 + 1
+                tail = (n - place)[short].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(value[short].view(np.int64)), pa.array(keys[doc[short]])], ["shingle", "cls"]
+                    [pa.array(value[short].view(np.int64)), pa.array(keys[doc[short]]),
+                     pa.array(n[short].astype(np.int32)), pa.array(tail)], ["shingle", "cls", "n", "tail"]
                 )
 
     rows = documents.where(F.col("doc_id").isNotNull()).select("text")
-    return rows.mapInArrow(run, "shingle long, cls long")
+    return rows.mapInArrow(run, "shingle long, cls long, n int, tail int")
+
+
+def possible(na, nb, tail_a, tail_b):
+    """Whether sizes and tails allow two sets to be linked."""
+    sizes = 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
+    return sizes & ((100 + PERCENT) * F.least(tail_a, tail_b) >= PERCENT * (na + nb))
 
 
 def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -174,45 +185,52 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     seen, counters = surveyed(documents, size, f"{folder}/seen")
     classes = stored(
         seen.where("doc_id is not null and cls is not null")
-        .groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")),
+        .groupBy("cls").agg(F.min("doc_id").alias("rep")),
         "classes",
     )
-    # Outermost regions
+    # Outermost regions. Of two linked sets the smaller one's tail holds 6/7 of it; a region where no
+    # class has such a tail has no link to find.
     own = Window.partitionBy("shingle")
+    long_tail = ((100 + PERCENT) * F.col("tail") >= 2 * PERCENT * F.col("n")).cast("int")
     regions = (
         rarest(documents, size, counters).repartition("shingle").dropDuplicates(["shingle", "cls"])
         .select(
-            "cls",
+            "cls", "n", "tail",
             F.min("cls").over(own).alias("least"),
             F.max("cls").over(own).alias("most"),
+            F.max(long_tail).over(own).alias("long_tail"),
             F.xxhash64(F.bit_xor(F.xxhash64("cls")).over(own), F.min("cls").over(own), F.count("*").over(own)).alias("region"),
         )
-        .where("least != most").select("region", "cls").distinct()
+        .where("least != most and long_tail = 1")
+        .groupBy("region", "cls").agg(F.max("n").cast("long").alias("n"), F.max("tail").cast("long").alias("tail"))
     )
     # In a region, by size: where the next class is too much larger, no link leads across.
-    sized = regions.join(classes.select("cls", "n"), "cls")
     own = Window.partitionBy("region").orderBy("n", "cls")
     apart = F.coalesce((100 * F.lag("n").over(own) < PERCENT * F.col("n")).cast("int"), F.lit(1))
-    sized = sized.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(own))
-    regions = sized.select(F.xxhash64("region", "chain").alias("region"), "cls")
+    regions = regions.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(own))
+    regions = regions.withColumn("region", F.xxhash64("region", "chain")).drop("apart", "chain")
+    # The pivot: a class with a long tail
     own = Window.partitionBy("region")
-    regions = regions.select("region", "cls", F.min("cls").over(own).alias("pivot"), F.count("*").over(own).alias("n"))
-    regions = stored(regions.where("n > 1").drop("n"), "regions0")
+    first = F.min(F.struct(1 - long_tail, "cls", "n", "tail")).over(own)
+    regions = regions.withColumn("pivot", first).withColumn("members", F.count("*").over(own))
+    regions = stored(regions.where("members > 1").drop("members"), "regions0")
 
     number = 0
     compared: DataFrame | None = None
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        """Compare pairs (a, b) not compared before; return all comparisons: a, b, distance, linked."""
+    def compare(pairs: DataFrame) -> None:
+        """Compare pairs (a, b, na, nb) whose sizes allow a link and that were not compared before."""
         nonlocal number, compared
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
+        swap = F.col("a") > F.col("b")
+        pairs = pairs.where((F.col("a") != F.col("b")) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
+        pairs = pairs.select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+            F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
+            F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"),
+        ).distinct()
         if compared is not None:
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        sizes = classes.select("cls", "n")
-        pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        pairs = stored(
-            pairs.where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")), f"pairs{number}"
-        )
+        pairs = stored(pairs, f"pairs{number}")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
         sets = stored(sets_of(documents, wanted, size), f"sets{number}")
         # Sets move once to meet those of the other side; lists of pairs are broadcast if small.
@@ -229,10 +247,9 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
         )
         number += 1
         compared = spark.read.parquet(f"{folder}/compared").drop("round")
-        return compared
 
     def with_distance(pairs: DataFrame) -> DataFrame:
-        """``pairs`` (…, a, b) with their distance, null where sizes alone rule a link out."""
+        """``pairs`` (…, a, b) with their distance, null where they were not compared."""
         keyed = pairs.withColumn("x", F.least("a", "b")).withColumn("y", F.greatest("a", "b"))
         known = compared.select(F.col("a").alias("x"), F.col("b").alias("y"), "distance")
         return keyed.join(known, ["x", "y"], "left").drop("x", "y")
@@ -240,51 +257,63 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     def connected() -> DataFrame:
         return components(compared.where("linked").select("a", "b"))
 
-    star = regions.select("region", F.col("cls").alias("a"), F.col("pivot").alias("b"))
-    compare(star)
+    pivot = F.col("pivot")
+    star = regions.where(F.col("cls") != pivot["cls"]).select(
+        "region", F.col("cls").alias("a"), pivot["cls"].alias("b"), F.col("n").alias("na"), pivot["n"].alias("nb"),
+        "tail", pivot["tail"].alias("pivot_tail"),
+    )
+    compare(star.where(possible(F.col("na"), F.col("nb"), F.col("tail"), F.col("pivot_tail"))))
     own = Window.partitionBy("region")
-    regions = with_distance(star).where("a != b").select("region", F.col("a").alias("cls"), "distance", F.lit(False).alias("whole"))
+    # Pivots go: what the tails allow them has been compared.
+    regions = with_distance(star).select(
+        "region", F.col("a").alias("cls"), F.col("na").alias("n"), "tail", "distance", F.lit(False).alias("whole")
+    )
     depth = 0
     while True:
         depth += 1
-        roots = connected()
-        roots = stored(roots, f"roots{depth}")
+        roots = stored(connected(), f"roots{depth}")
         root = F.coalesce("component", "cls")
         state = regions.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", root).drop("component")
-        state = state.withColumn("n", F.count("*").over(own)).where(
-            # Without the pivot: in a region whose classes are all connected nothing is left to find.
-            F.col("n") > 1
-        ).withColumn("least", F.min("root").over(own)).withColumn("most", F.max("root").over(own)).where("least != most")
-        state = stored(state.select("region", "cls", "distance", "whole", "root", "n"), f"open{depth}")
+        # In a region whose classes are all connected nothing is left to find.
+        state = state.withColumn("members", F.count("*").over(own))
+        state = state.withColumn("least", F.min("root").over(own)).withColumn("most", F.max("root").over(own))
+        state = stored(state.where("least != most").drop("least", "most"), f"open{depth}")
         if state.isEmpty():
             break
-        small = state.where((F.col("n") <= LEAF) | F.col("whole"))
-        left = small.select("region", F.col("cls").alias("a"), F.col("root").alias("ra"), F.col("distance").alias("da"))
-        right = small.select("region", F.col("cls").alias("b"), F.col("root").alias("rb"), F.col("distance").alias("db"))
-        pairs = left.join(right, "region").where("a < b and ra != rb").where(
-            F.coalesce(F.abs(F.col("da") - F.col("db")) <= RADIUS + 1e-9, F.lit(True))
+        small = state.where((F.col("members") <= LEAF) | F.col("whole"))
+        left, right = (
+            small.select("region", *[F.col(c).alias(c + end) for c in ("cls", "root", "n", "tail", "distance")])
+            for end in "ab"
         )
-        large = state.where((F.col("n") > LEAF) & ~F.col("whole"))
+        pairs = left.join(right, "region").where(
+            (F.col("clsa") < F.col("clsb")) & (F.col("roota") != F.col("rootb"))
+            & possible(F.col("na"), F.col("nb"), F.col("taila"), F.col("tailb"))
+            & F.coalesce(F.abs(F.col("distancea") - F.col("distanceb")) <= RADIUS + 1e-9, F.lit(True))
+        ).select(F.col("clsa").alias("a"), F.col("clsb").alias("b"), "na", "nb")
+        large = state.where((F.col("members") > LEAF) & ~F.col("whole"))
         rank = F.row_number().over(own.orderBy(F.xxhash64("cls", F.lit(depth)), "cls"))
-        pivots = large.withColumn("pivot_rank", rank).where(F.col("pivot_rank") <= PIVOTS)
-        pivots = stored(pivots.select("region", F.col("cls").alias("b"), "pivot_rank"), f"pivots{depth}")
-        star = large.select("region", F.col("cls").alias("a"), "n").join(pivots, "region")
-        compare(pairs.select("a", "b").unionByName(star.select("a", "b")))
+        pivots = large.withColumn("place", rank).where(F.col("place") <= PIVOTS)
+        pivots = stored(pivots.select("region", F.col("cls").alias("b"), F.col("n").alias("nb")), f"pivots{depth}")
+        star = large.select("region", F.col("cls").alias("a"), F.col("n").alias("na"), "tail", "members").join(pivots, "region")
+        compare(pairs.unionByName(star.select("a", "b", "na", "nb")))
         if pivots.isEmpty():
             roots = stored(connected(), f"roots{depth + 1}")
             break
-        # Voronoi cells, with boundary classes in more than one
+        # Voronoi cells, with boundary classes in more than one; pivots go
         reach = with_distance(star.where("a != b")).join(
             pivots.select("region", F.col("b").alias("a")), ["region", "a"], "left_anti"
         )
-        nearest = F.min(F.coalesce("distance", F.lit(1.0))).over(Window.partitionBy("region", "a"))
-        inside = F.coalesce(F.col("distance") <= F.col("nearest") + 2 * RADIUS + 1e-9, F.lit(True))
-        cells = reach.withColumn("nearest", nearest).where(inside)
-        cells = cells.select(
-            F.xxhash64("region", "b").alias("region"), F.col("a").alias("cls"), "distance", F.col("n").alias("parent")
+        mine = Window.partitionBy("region", "a")
+        reach = reach.withColumn("nearest", F.min(F.coalesce("distance", F.lit(1.0))).over(mine))
+        reach = reach.where(F.coalesce(F.col("distance") <= F.col("nearest") + 2 * RADIUS + 1e-9, F.lit(True)))
+        reach = reach.withColumn("whole", F.count("*").over(own) > SPREAD * F.col("members"))
+        reach = reach.withColumn("place", F.row_number().over(mine.orderBy("distance", "b")))
+        cells = reach.where("place = 1 or not whole").select(
+            F.when(F.col("whole"), F.col("region")).otherwise(F.xxhash64("region", "b")).alias("region"),
+            F.col("a").alias("cls"), F.col("na").alias("n"), "tail",
+            F.when(~F.col("whole"), F.col("distance")).alias("distance"), "whole",
         )
-        cells = cells.withColumn("whole", F.count("*").over(own) > SHRINK * F.col("parent"))
-        regions = stored(cells.select("region", "cls", "distance", "whole"), f"cells{depth}")
+        regions = stored(cells, f"cells{depth}")
 
     # From classes back to documents
     placed = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
