@@ -57,8 +57,7 @@ def test_jaccard_recursion(spark, monkeypatch):
             words[k] = f"v{i}_{k}"
         rows.append((i, " ".join(words)))
     monkeypatch.setattr(jaccard, "LEAF", 6)
-    monkeypatch.setattr(jaccard, "PIVOTS", 3)
-    monkeypatch.setattr(jaccard, "SPREAD", 9.0)
+    monkeypatch.setattr(jaccard, "PIVOTS", 4)
     found = jaccard.linked_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute.jaccard(rows)
 

@@ -44,8 +44,10 @@ COUNTERS_ROW = 1 << 10
 #: Regions of at most so many classes are compared pair by pair.
 LEAF = 64
 PIVOTS = 8
-#: A region whose cells hold more than so many times its classes is not taken apart.
-SPREAD = 2.0
+#: A region is not taken apart if its cells hold more than so many times its classes, or one cell more
+#: than this share of them. So cells shrink fast, and their number stays bounded.
+SPREAD = 1.5
+SHRINK = 0.7
 
 
 def slot(hashes: np.ndarray) -> np.ndarray:
@@ -209,9 +211,10 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     apart = F.coalesce((100 * F.lag("n").over(own) < PERCENT * F.col("n")).cast("int"), F.lit(1))
     regions = regions.withColumn("apart", apart).withColumn("chain", F.sum("apart").over(own))
     regions = regions.withColumn("region", F.xxhash64("region", "chain")).drop("apart", "chain")
-    # The pivot: a class with a long tail
+    # The pivot: the class with the least before its tail. It links with most of those that link at all.
     own = Window.partitionBy("region")
-    first = F.min(F.struct(1 - long_tail, "cls", "n", "tail")).over(own)
+    head = F.floor((F.col("n") - F.col("tail")) * 1_000_000 / F.col("n"))
+    first = F.min(F.struct(head.alias("head"), "cls", "n", "tail")).over(own)
     regions = regions.withColumn("pivot", first).withColumn("members", F.count("*").over(own))
     regions = stored(regions.where("members > 1").drop("members"), "regions0")
 
@@ -291,8 +294,11 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
             & F.coalesce(F.abs(F.col("distancea") - F.col("distanceb")) <= RADIUS + 1e-9, F.lit(True))
         ).select(F.col("clsa").alias("a"), F.col("clsb").alias("b"), "na", "nb")
         large = state.where((F.col("members") > LEAF) & ~F.col("whole"))
-        rank = F.row_number().over(own.orderBy(F.xxhash64("cls", F.lit(depth)), "cls"))
-        pivots = large.withColumn("place", rank).where(F.col("place") <= PIVOTS)
+        # Half of the pivots by the same rule, half by a hash
+        best = F.row_number().over(own.orderBy(head, "cls"))
+        drawn = F.row_number().over(own.orderBy(F.xxhash64("cls", F.lit(depth)), "cls"))
+        pivots = large.withColumn("best", best).withColumn("drawn", drawn)
+        pivots = pivots.where(F.least("best", "drawn") <= PIVOTS // 2)
         pivots = stored(pivots.select("region", F.col("cls").alias("b"), F.col("n").alias("nb")), f"pivots{depth}")
         star = large.select("region", F.col("cls").alias("a"), F.col("n").alias("na"), "tail", "members").join(pivots, "region")
         compare(pairs.unionByName(star.select("a", "b", "na", "nb")))
@@ -306,7 +312,12 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
         mine = Window.partitionBy("region", "a")
         reach = reach.withColumn("nearest", F.min(F.coalesce("distance", F.lit(1.0))).over(mine))
         reach = reach.where(F.coalesce(F.col("distance") <= F.col("nearest") + 2 * RADIUS + 1e-9, F.lit(True)))
-        reach = reach.withColumn("whole", F.count("*").over(own) > SPREAD * F.col("members"))
+        in_cell = F.count("*").over(Window.partitionBy("region", "b"))
+        reach = reach.withColumn("in_cell", in_cell)
+        reach = reach.withColumn(
+            "whole",
+            (F.count("*").over(own) > SPREAD * F.col("members")) | (F.max("in_cell").over(own) > SHRINK * F.col("members")),
+        )
         reach = reach.withColumn("place", F.row_number().over(mine.orderBy("distance", "b")))
         cells = reach.where("place = 1 or not whole").select(
             F.when(F.col("whole"), F.col("region")).otherwise(F.xxhash64("region", "b")).alias("region"),
