@@ -5,10 +5,9 @@ Types, ranges and names are fixed values of the data model.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructType
-
 
 @dataclass(frozen=True)
 class Table:
@@ -27,7 +26,9 @@ class Table:
 
     @property
     def fields(self) -> list[tuple[str, str]]:
-        return [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(self.ddl).fields]
+        # Spark's own parser needs a session, and names are wanted before there is one.
+        columns = re.split(r",\s*(?![^()]*\))", self.ddl.strip())
+        return [(name, kind) for name, kind in (column.split() for column in columns)]
 
     @property
     def required(self) -> list[str]:
