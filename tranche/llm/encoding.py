@@ -19,7 +19,7 @@ from tranche.llm import words as W
 
 FAST_LIMIT = 0x250
 #: Pre-tokens remembered by a worker; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
 #: Contractions that the pattern cuts off, by their first letter: fixed values of the byte-level pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")

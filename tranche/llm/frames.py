@@ -13,8 +13,14 @@ from pyspark.sql import types as T
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package where it runs from a source folder."""
+    """Let Python workers import this package where it runs from a source folder, and keep Arrow batches
+    of whole texts small unless the session sets their size."""
+    if spark.conf.get(BATCH) == "10000":  # Spark's default, meant for narrow rows
+        spark.conf.set(BATCH, "1000")
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
