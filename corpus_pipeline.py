@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tranche.llm import decontaminate, jaccard, mixing, tokens, toxicity
 from tranche.llm.catalog import table, tokenizer_definition
+from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
 from tranche.session import run_folder
 
@@ -25,6 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return jaccard.deduplicated(docs)
 
 
@@ -38,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    folder = f"{run_folder(spark)}/tokens"
+    folder = f"{run_folder(importable(spark))}/tokens"
     tokens.write(docs, tokenizer_definition(), folder)
     return tokens.read(spark, folder)
 
