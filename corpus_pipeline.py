@@ -2,7 +2,8 @@
 
 toxicity: documents scored as toxic go. near_duplicates: one document of each Jaccard component stays,
 the one with the least id. decontamination: documents with benchmark passages go. mixing: documents
-are repeated at their source's rate and shuffled. token_files: ids in Arrow files; one row per document.
+are repeated at their source's rate and shuffled; files and rows are in the shuffled order. token_files:
+ids in Arrow files in the order of doc_id, not in that of the mix; one row per document.
 """
 
 from __future__ import annotations
@@ -35,8 +36,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed, _ = mixing.mix(docs, mixing.tempered(docs))
-    return mixed.select(*docs.columns)
+    mixed, (_, position) = mixing.mix(docs, mixing.tempered(docs))
+    # Sorting uses the position, so the shuffle is not pruned; files and their rows follow that order.
+    return mixed.orderBy(position).select(*docs.columns)
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

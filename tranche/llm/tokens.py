@@ -1,6 +1,6 @@
 """Token ids in Arrow files of equal-length sequences.
 
-Documents are sorted into ranges of ascending doc_id. Each task encodes one range into one stream of
+Documents are sorted into ranges of ascending doc_id, or of another order. Each task encodes one range into one stream of
 ids, cuts it into sequences of ``seq_len`` and writes them as an Arrow file: batches of ``BATCH_ROWS``
 sequences in two fixed-size-list columns, ``ids`` and ``mask`` (false only on the padding behind the
 last id). Batches are uncompressed and of equal length, so sequence i is row ``i mod BATCH_ROWS`` of
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tranche.llm.encoding import Encoder
@@ -128,22 +128,25 @@ class SequenceReader:
 
 
 def write(
-    documents: DataFrame, definition: str, folder: str, seq_len: int = SEQ_LEN, end_id: int = END_ID
+    documents: DataFrame, definition: str, folder: str, seq_len: int = SEQ_LEN, end_id: int = END_ID,
+    order: list[Column] | None = None,
 ) -> DataFrame:
     """Write the ids of ``documents`` (doc_id, text; others are not read) below ``folder``, a new
     folder that all executors reach; return the manifest.
 
     ``definition`` is the content of a tokenizers file. A null text is an empty one, whose only id
-    is the end id. Ties of doc_id are ordered by a hash of the text; null doc_ids come first. An
-    empty table gives no files.
+    is the end id. Ties of doc_id are ordered by a hash of the text; null doc_ids come first. With
+    ``order``, columns of ``documents`` to sort by instead, the files follow that. An empty table
+    gives no files.
     """
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(definition)  # one file of fixed size
     text = F.coalesce("text", F.lit("")).alias("text")
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = rows.withColumn("part", F.spark_partition_id())
+    given = [c.alias(f"order{k}") for k, c in enumerate(order or [])]
+    by = [F.col(f"order{k}") for k in range(len(given))] or [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text, *given)
+    rows = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    rows = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = encoder = name = part = None
