@@ -1,6 +1,7 @@
 """Cases that a review found missing."""
 
 import numpy as np
+import pyarrow as pa
 from brute import SCHEMA
 from pyspark.sql import functions as F
 
@@ -27,3 +28,16 @@ def test_token_files_in_a_given_order(spark, documents, rows):
     found = tokens.read(spark, folder).orderBy("start").collect()
     assert [r["doc_id"] for r in found] == [r[0] for r in rows][::-1]
     assert [r["start"] for r in found] == [0, *np.cumsum([r["n_tokens"] for r in found])[:-1]]
+
+
+def test_added_tokens_as_the_library_reads_them():
+    """Against an untouched tokenizer, also at the ends of a text and across two texts."""
+    from tokenizers import Tokenizer
+
+    definition = catalog.tokenizer_definition()
+    library = Tokenizer.from_str(definition)
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert added
+    texts = ["plain text", *[x for t in added for x in (f"a {t} b", t, f"{t}{t} c", f"It's{t}", t[:3], t[3:])], None, "é"]
+    for text, ids in zip(texts, tokens.Encoder(definition, 2).encode(pa.array(texts, pa.string()))):
+        assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 2], text

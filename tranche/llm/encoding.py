@@ -3,8 +3,9 @@
 A byte-level tokenizer first cuts a text into pre-tokens and then encodes each for itself. Prose
 repeats its pre-tokens, so here they are cut in numpy, many documents at a time, and only those not
 met before go through the library. Which characters are letters, digits or white space is asked of
-the library. Texts with characters from FAST_LIMIT on, and tokenizers of another build, are encoded
-by the library as a whole; ids are the same either way.
+the library. Texts with characters from FAST_LIMIT on or with the content of an added token (such as
+a literal <|endoftext|>, which the library makes one id), and tokenizers of another build, are
+encoded by the library as a whole; ids are the same either way.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(definition)
-        self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.end_id = end_id
         self.kind = np.uint16 if max(self.library.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
         parts = json.loads(definition)
@@ -86,6 +87,12 @@ class Encoder:
         far = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(codes >= FAST_LIMIT, out=far[1:])
         slow = far[starts[1:]] > far[starts[:-1]]
+        for content in self.added:
+            at = text.find(content)
+            while at >= 0:
+                doc = int(np.searchsorted(starts, at, "right")) - 1
+                slow[doc] = True  # also if it runs over the document's end, which changes no id
+                at = text.find(content, int(starts[doc + 1]))
         begins = self._cut(codes, starts, slow)
         ends = np.append(begins[1:], len(codes))
         counts = np.searchsorted(begins, starts)
