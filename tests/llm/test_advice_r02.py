@@ -6,7 +6,7 @@ from brute import SCHEMA
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tranche.llm import catalog, mixing, tokens
+from tranche.llm import catalog, mixing, tokens, toxicity
 from tranche.session import run_folder
 
 
@@ -41,3 +41,17 @@ def test_added_tokens_as_the_library_reads_them():
     texts = ["plain text", *[x for t in added for x in (f"a {t} b", t, f"{t}{t} c", f"It's{t}", t[:3], t[3:])], None, "é"]
     for text, ids in zip(texts, tokens.Encoder(definition, 2).encode(pa.array(texts, pa.string()))):
         assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 2], text
+
+
+def test_folding_of_every_plane():
+    """Mathematical letters, marks, zero-width characters, soft hyphens and ligatures are read as words."""
+    plain = ["scum", "you scum here", "office", "", "scum 12", "\U00010330\U00010331"]
+    written = [
+        "".join(chr(0x1D41A + ord(c) - 97) for c in "scum"), "you s\u0301c\u200bu\u00adm\ufeff here", "o\ufb03ce", "\u0301",
+        "\U0001D4E2\u0441u\u0336m\u2060 \U0001D7CF\U0001D7D0", "\U00010330\U00010331",
+    ]
+    folded = list(toxicity.folded_texts(pa.array(written)))
+    assert folded == [f" {x} " if x else " " for x in plain]
+    assert folded == list(toxicity.folded_texts(pa.array(plain)))
+    lexicon = toxicity.Lexicon({" scum ": 1.0})
+    assert [bool(toxicity.mass(lexicon.automaton(), t)) for t in folded] == [True, True, False, False, True, False]

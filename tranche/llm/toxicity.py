@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton over folded text.
 
-Folding lowers letters, strips accents, replaces look-alikes of other scripts, and reads the digits
-and signs of a word that has letters as the letters they stand for. Lexicon entries are whole words
+Folding lowers letters, takes letters of any plane apart (ligatures, mathematical letters), drops
+marks and format characters, replaces look-alikes of other scripts, and reads the digits and signs of
+a word that has letters as the letters they stand for. Lexicon entries are whole words
 or beginnings of words; each has a weight. A match inside an exception phrase counts nothing. The
 sum of the weights and its share of the document's words give a calibrated score.
 
@@ -56,30 +57,71 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 BLANK = 32
 
 
+@lru_cache(maxsize=1 << 16)
+def folded_char(char: str) -> str:
+    """What a character is in a word: its compatibility decomposition in lower case, without marks and
+    format characters (such as soft hyphens and zero-width ones), look-alikes replaced, and a space for
+    all that is no part of a word. Nothing for a mark or format character alone."""
+    parts = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", char).lower())
+    found = ""
+    for part in parts:
+        if unicodedata.category(part)[0] == "M" or unicodedata.category(part) == "Cf":
+            continue
+        part = LOOK_ALIKES.get(part, part)
+        found += part if part.isalnum() or part in SUBSTITUTES else " "
+    return found if found.strip() else found[:1]
+
+
 @lru_cache(maxsize=1)
-def folding() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each character of the basic plane its folded form (a space if it is none of a word's),
-    whether that is a letter, and the letter it stands for in a word."""
+def folding() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each character of the basic plane its folded form, whether that is a letter, the letter it
+    stands for in a word, and whether it folds to one character (if not, see folded_char)."""
     size = 1 << 16
     folded = np.full(size, BLANK, np.uint32)
-    letter = np.zeros(size, bool)
+    letter, single = np.zeros(size, bool), np.ones(size, bool)
     for code in range(size):
         if 0xD800 <= code < 0xE000:
             continue
-        char = unicodedata.normalize("NFKD", chr(code))[:1].lower()[:1]
-        char = LOOK_ALIKES.get(char, char)
-        if char and (char.isalnum() or char in SUBSTITUTES):
-            folded[code] = min(ord(char), 0xFFFF)
-            letter[code] = char.isalpha()
+        found = folded_char.__wrapped__(chr(code))
+        single[code] = len(found) == 1
+        if single[code]:
+            folded[code], letter[code] = ord(found), found.isalpha()
     stands = np.arange(size, dtype=np.uint32)
     for sign, char in SUBSTITUTES.items():
         stands[ord(sign)] = ord(char)
-    return folded, letter, stands
+    return folded, letter, stands, single
+
+
+def folded_codes(codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Folded forms of ``codes``, whether each is a letter, and where ``ends`` come to lie."""
+    folded, letter, _, single = folding()
+    near = np.minimum(codes, 0xFFFF)
+    result, is_letter = folded[near], letter[near]
+    odd = np.flatnonzero((codes > 0xFFFF) | ~single[near])
+    if not len(odd):
+        return result, is_letter, ends
+    distinct, which = np.unique(codes[odd], return_inverse=True)
+    forms = [folded_char(chr(c)) for c in distinct.tolist()]
+    sizes = np.array([len(f) for f in forms], np.int64)
+    flat = np.array([ord(c) for f in forms for c in f], np.uint32)
+    alpha = np.array([c.isalpha() for f in forms for c in f], bool)
+    lengths = np.ones(len(codes), np.int64)
+    lengths[odd] = sizes[which]
+    reached = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(lengths, out=reached[1:])
+    result, is_letter = np.repeat(result, lengths), np.repeat(is_letter, lengths)
+    # Character k of a form comes from place k behind where the form begins.
+    own = sizes[which]
+    inside = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+    to = np.repeat(reached[odd], own) + inside
+    source = np.repeat((np.cumsum(sizes) - sizes)[which], own) + inside
+    result[to], is_letter[to] = flat[source], alpha[source]
+    return result, is_letter, reached[ends]
 
 
 def folded_texts(texts: pa.Array) -> Iterator[str]:
     """Each text as folded words, with one space before, between and after them."""
-    folded, letter, stands = folding()
+    stands = folding()[2]
     for piece in W.pieces(texts, lower=False):
         lead = (piece.data & 0xC0) != 0x80
         places = np.zeros(len(piece.data) + 1, np.int64)
@@ -88,16 +130,14 @@ def folded_texts(texts: pa.Array) -> Iterator[str]:
         codes = np.frombuffer(piece.data.tobytes().decode().encode("utf-32-le"), np.uint32)
         codes = np.insert(codes, places[piece.starts[1:]], BLANK)
         ends = places[piece.starts[1:]] + np.arange(1, len(piece.starts))
-        far = codes >= 1 << 16
-        codes = np.where(far, 0, codes)
-        is_letter, codes = letter[codes] & ~far, np.where(far, BLANK, folded[codes])
+        codes, is_letter, ends = folded_codes(codes, ends)
         inside = codes != BLANK
         change = np.flatnonzero(np.diff(inside, prepend=False))
         if len(change):
             spelled = np.logical_or.reduceat(is_letter, change)
             run = np.repeat(spelled, np.diff(np.append(change, len(codes))))
             run = np.concatenate((np.zeros(change[0], bool), run))
-            codes = np.where(run, stands[np.minimum(codes, 0xFFFF)], codes)
+            codes = np.where(run & (codes <= 0xFFFF), stands[np.minimum(codes, 0xFFFF)], codes)
             # Signs that stand for nothing here are no part of a word.
             codes = np.where(~run & ((codes == ord("@")) | (codes == ord("$"))), BLANK, codes)
         inside = codes != BLANK
