@@ -1,5 +1,7 @@
 """Cases that a review found missing."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 from brute import SCHEMA
@@ -55,3 +57,39 @@ def test_folding_of_every_plane():
     assert folded == list(toxicity.folded_texts(pa.array(plain)))
     lexicon = toxicity.Lexicon({" scum ": 1.0})
     assert [bool(toxicity.mass(lexicon.automaton(), t)) for t in folded] == [True, True, False, False, True, False]
+
+
+def test_lexicon_has_no_fixed_length(spark):
+    """620 toxic words with three documents each, behind more than 20,000 commoner words and stems."""
+    source = random.Random(4)
+    word = lambda: "".join(source.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    common = [" ".join(word() for _ in range(20)) for _ in range(200)]
+    shared = " ".join(common)
+    toxic = [word() for _ in range(620)]
+    rows = [(k, f"{toxic[k % 620]} {shared if k < 8 else common[k % 200]} {k}") for k in range(3 * 620)]
+    rows += [(10_000 + k, f"{shared if k < 8 else common[k % 200]} {k}") for k in range(3 * 620)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = documents.select("doc_id", (F.col("doc_id") < 10_000).cast("int").alias("toxic"))
+    lexicon = toxicity.learn(documents, labels, F.lit(True))
+    automaton = lexicon.automaton()
+    missed = [t for t in toxic if not toxicity.mass(automaton, f" {t} ")]
+    assert len(lexicon.weights) > 500 and not missed
+
+
+def test_cover_takes_the_best_left_over():
+    """The same choice as looking through all entries each time."""
+    source = random.Random(1)
+    for _ in range(30):
+        own = [sorted(source.sample(range(40), source.randint(0, 8))) for _ in range(60)]
+        weight = [source.choice([1.4, 2.0, 2.5]) for _ in range(40)]
+        prefer = [(source.random() < 0.5, source.randint(4, 8), str(k)) for k in range(40)]
+        rows = {e: {d for d, x in enumerate(own) if e in x} for e in range(40)}
+        rows, total, want = {e: d for e, d in rows.items() if d}, {e: len(d) for e, d in rows.items()}, []
+        while rows:
+            best = max(rows, key=lambda e: (len(rows[e]) * weight[e], total[e], prefer[e]))
+            gained = rows.pop(best)
+            if len(gained) < toxicity.SUPPORT and total[best] < toxicity.COMMON * len(own):
+                continue
+            want.append(best)
+            rows = {e: kept for e, d in rows.items() if (kept := d - gained)}
+        assert toxicity.cover([np.array(x, np.int32) for x in own], weight, prefer) == want

@@ -13,6 +13,7 @@ not taken.
 
 from __future__ import annotations
 
+import heapq
 import math
 import unicodedata
 from collections import Counter
@@ -33,10 +34,8 @@ from tranche.llm.labelled import balanced, training_sample
 
 #: Labelled documents of each class to learn from, at most.
 PER_CLASS = 8_000
-#: Candidate entries counted in the clean documents, at most: the most frequent in toxic ones.
-CANDIDATES = 20_000
-#: Entries of the lexicon and exception phrases, at most.
-ENTRIES = 500
+#: Counts that a task holds before it passes them on.
+HELD = 200_000
 #: Toxic documents that an entry must explain beyond those already explained; one is enough for an
 #: entry that COMMON of all toxic documents have.
 SUPPORT = 3
@@ -235,50 +234,57 @@ def entries_of(text: str) -> set[str]:
     return found
 
 
-def counted(sample: DataFrame, among: set[str] | None) -> DataFrame:
-    """How many documents have each entry (of those in ``among``)."""
-    shared = sample.sparkSession.sparkContext.broadcast(among)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, counts = shared.value, Counter()
-        for batch in batches:
-            for text in folded_texts(batch.column("text")):
-                found = entries_of(text)
-                counts.update(found if wanted is None else found & wanted)
-        if counts:
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys()), pa.array(counts.values(), pa.int64())], ["entry", "n"])
-
-    return sample.select("text").mapInArrow(run, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+def candidates(distinct: DataFrame, n_toxic: int, n_clean: int) -> tuple[dict[str, int], dict[str, int]]:
+    """In how many toxic and in how many clean documents each entry is that has the support and the odds."""
+    sums = class_sums(by_class(distinct, lambda _, text: entries_of(text), lambda: None))
+    odds = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1))
+    # As many as the bounded sample gives.
+    good = sums.where((F.col("toxic") >= SUPPORT) & (odds >= ODDS)).collect()
+    return {r["item"]: r["toxic"] for r in good}, {r["item"]: r["clean"] for r in good}
 
 
-def incidence(sample: DataFrame, entries: list[str]) -> list[list[int]]:
+def incidence(sample: DataFrame, entries: list[str]) -> list[np.ndarray]:
     """Which of ``entries`` each document of the bounded sample has."""
     shared = sample.sparkSession.sparkContext.broadcast({e: k for k, e in enumerate(entries)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = shared.value
         for batch in batches:
-            found = [sorted(number[e] for e in entries_of(t) if e in number) for t in folded_texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["entries"])
+            found = [
+                np.array(sorted(number[e] for e in entries_of(t) if e in number), np.int32).tobytes()
+                for t in folded_texts(batch.column("text"))
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["entries"])
 
-    return [r[0] for r in sample.select("text").mapInArrow(run, "entries array<int>").collect()]
+    rows = sample.select("text").mapInArrow(run, "entries binary").collect()
+    return [np.frombuffer(r[0], np.int32) for r in rows]
 
 
-def cover(documents: list[list[int]], weight: list[float], prefer: list[tuple]) -> list[int]:
+def cover(documents: list[np.ndarray], weight: list[float], prefer: list[tuple]) -> list[int]:
     """Entries, each of which explains the most documents that the ones before it left over."""
-    rows: dict[int, set[int]] = {}
-    for doc, own in enumerate(documents):
-        for entry in own:
-            rows.setdefault(entry, set()).add(doc)
-    total = {e: len(docs) for e, docs in rows.items()}
+    entry = np.concatenate([np.zeros(0, np.int32), *documents])
+    doc = np.repeat(np.arange(len(documents)), [len(x) for x in documents])
+    doc = doc[np.argsort(entry, kind="stable")]
+    total = np.bincount(entry, minlength=len(weight))
+    begin = np.cumsum(total) - total
+    rank = {e: k for k, e in enumerate(sorted(range(len(weight)), key=lambda e: prefer[e], reverse=True))}
+    left = np.ones(len(documents), bool)
+    # What an entry explains only shrinks, so the first whose figure is still right is the best.
+    waiting = [(-float(total[e] * weight[e]), -int(total[e]), rank[e], e) for e in rank if total[e]]
+    heapq.heapify(waiting)
     chosen = []
-    while rows and len(chosen) < ENTRIES:
-        best = max(rows, key=lambda e: (len(rows[e]) * weight[e], total[e], prefer[e]))
-        gained = rows.pop(best)
-        if len(gained) < SUPPORT and total[best] < COMMON * len(documents):
-            continue
-        chosen.append(best)
-        rows = {e: kept for e, docs in rows.items() if (kept := docs - gained)}
+    while waiting:
+        known, _, _, best = waiting[0]
+        own = doc[begin[best]:begin[best] + total[best]]
+        gained = int(left[own].sum())
+        if not gained or (gained < SUPPORT and total[best] < COMMON * len(documents)):
+            heapq.heappop(waiting)
+        elif -float(gained * weight[best]) != known:
+            heapq.heapreplace(waiting, (-float(gained * weight[best]), -int(total[best]), rank[best], best))
+        else:
+            heapq.heappop(waiting)
+            chosen.append(best)
+            left[own] = False
     return chosen
 
 
@@ -290,19 +296,16 @@ def learn(documents: DataFrame, labels: DataFrame, usable: Column, per_class: in
     """
     sample = training_sample(documents, labels, "toxic", usable, per_class)
     distinct = sample.groupBy("text").agg(F.max("label").alias("label"))
-    toxic, clean = distinct.where("label = 1"), distinct.where("label = 0")
     sizes = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1.0, 0), sizes.get(0.0, 0)
     if not n_toxic:
         return Lexicon({}, [], (-4.0, 1.0, 1.0))
-    often = counted(toxic, None).where(F.col("n") >= SUPPORT).orderBy(F.desc("n"), "entry").limit(CANDIDATES).collect()
-    in_toxic = {r["entry"]: r["n"] for r in often}
-    in_clean = {r["entry"]: r["n"] for r in counted(clean, set(in_toxic)).collect()}
+    in_toxic, in_clean = candidates(distinct, n_toxic, n_clean)
     weight = weights_of(in_toxic, in_clean, n_toxic, n_clean)
-    entries = sorted(e for e, x in weight.items() if x >= math.log(ODDS))
+    entries = sorted(weight)
     # Of equally good entries a whole word, then the longest stem that explains as much.
     prefer = [(e.endswith(" "), len(e), e) for e in entries]
-    chosen = [entries[k] for k in cover(incidence(toxic, entries), [weight[e] for e in entries], prefer)]
+    chosen = [entries[k] for k in cover(incidence(distinct.where("label = 1"), entries), [weight[e] for e in entries], prefer)]
     # With the exceptions known, the entries are weighed again.
     exceptions = exceptions_in(distinct, chosen, n_toxic, n_clean)
     found = matching(distinct, chosen, exceptions)
@@ -322,22 +325,36 @@ def weights_of(in_toxic: dict[str, int], in_clean: dict[str, int], n_toxic: int,
 def by_class(distinct: DataFrame, items_of: Callable[[object, str], set[str]], automaton: Callable) -> DataFrame:
     """How many documents of each class have each item that ``items_of`` finds in their folded texts."""
 
+    def batch_of(counts: Counter) -> pa.RecordBatch:
+        labels, items = zip(*counts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(labels, pa.float64()), pa.array(items, pa.string()), pa.array(counts.values(), pa.int64())],
+            ["label", "item", "n"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, counts = automaton(), Counter()
         for batch in batches:
             for label, text in zip(batch.column("label").to_pylist(), folded_texts(batch.column("text"))):
                 counts.update((label, item) for item in items_of(machine, text))
+                if len(counts) > HELD:
+                    yield batch_of(counts)
+                    counts = Counter()
         if counts:
-            labels, items = zip(*counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.float64()), pa.array(items, pa.string()), pa.array(counts.values(), pa.int64())],
-                ["label", "item", "n"],
-            )
+            yield batch_of(counts)
 
     found = distinct.select("label", "text").mapInArrow(run, "label double, item string, n long")
     return found.groupBy("label", "item").agg(F.sum("n").alias("n"))
 
 
+def class_sums(counts: DataFrame) -> DataFrame:
+    """(item, clean, toxic): the counts of both classes side by side."""
+    return counts.groupBy("item").agg(
+        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"),
+        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
+    )
+
+
 def exceptions_in(distinct: DataFrame, entries: list[str], n_toxic: int, n_clean: int) -> list[str]:
     """Words that hold an entry, and such words with a neighbour, that several clean documents have
     and that do not speak for a toxic one."""
@@ -358,12 +375,9 @@ def exceptions_in(distinct: DataFrame, entries: list[str], n_toxic: int, n_clean
         return own
 
     counts = by_class(distinct, phrases, lambda: Lexicon(dict.fromkeys(entries, 1.0)).automaton())
-    sums = counts.groupBy("item").agg(
-        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"),
-        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
-    )
+    sums = class_sums(counts)
     odds = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("clean") + 0.5) / (n_clean + 1))
-    good = sums.where((F.col("clean") >= SUPPORT) & (odds <= 1.0)).orderBy(F.desc("clean"), "item").limit(ENTRIES)
+    good = sums.where((F.col("clean") >= SUPPORT) & (odds <= 1.0)).orderBy(F.desc("clean"), "item")
     return [r["item"] for r in good.collect()]
 
 
