@@ -8,7 +8,8 @@ from brute import SCHEMA
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tranche.llm import catalog, mixing, tokens, toxicity
+from tranche.llm import catalog, lines, mixing, tokens, toxicity
+from tranche.llm import words as W
 from tranche.session import run_folder
 
 
@@ -93,3 +94,41 @@ def test_cover_takes_the_best_left_over():
             want.append(best)
             rows = {e: kept for e, d in rows.items() if (kept := d - gained)}
         assert toxicity.cover([np.array(x, np.int32) for x in own], weight, prefer) == want
+
+
+def sentence(seed, words):
+    return " ".join(f"l{seed}w{k}" for k in range(words))
+
+
+def test_lines_that_are_a_passage_only_together(spark):
+    """Documents 1 and 2 have one line each, the later ones both: the block goes from all but the first of them."""
+    a, b = sentence(1, 30), sentence(2, 30)
+    rows = [(1, f"{a}\nx1"), (2, f"{b}\nx2"), *[(k, f"own {k}\n{a}\n{b}\nend {k}") for k in range(3, 40)]]
+    found, _ = lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["text"] for r in found.collect()}
+    assert got == {i: t if i <= 3 else f"own {i}\nend {i}" for i, t in rows}
+
+
+def test_short_lines_around_a_long_one(spark):
+    """Every line of a common block goes, also those in front of and behind the line that makes it long."""
+    a, b, c = sentence(1, 10), sentence(2, 45), sentence(3, 10)
+    rows = [(0, a), (1, b), (2, c), *[(k, f"own {k}\n{a}\n{b}\n{c}\nend {k}") for k in range(3, 40)]]
+    found, _ = lines.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["text"] for r in found.collect()}
+    assert got == {i: t if i <= 3 else f"own {i}\nend {i}" for i, t in rows}
+
+
+def test_least_runs_cover_every_long_block():
+    source = random.Random(2)
+    for _ in range(200):
+        words = np.array([source.randint(1, 30) for _ in range(source.randint(1, 15))])
+        doc, value = np.sort(np.array([source.randint(0, 2) for _ in words])), np.arange(len(words)).astype(np.uint64)
+        own, found = lines.least_runs(doc, value, words, 50)
+        held = set(zip(own.tolist(), found.tolist()))
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                if doc[i] != doc[j - 1] or words[i:j].sum() < 50:
+                    continue
+                inside = [(p, q) for p in range(i, j) for q in range(p + 1, j + 1) if q - p == 1 and words[p] >= 50
+                          or (int(doc[p]), int(W.span_hashes(value, np.array([p]), np.array([q]))[0])) in held]
+                assert {k for p, q in inside for k in range(p, q)} == set(range(i, j))

@@ -2,9 +2,12 @@
 
 Documents overlap where they share a line that is not in one document only. Each holder of such a
 line is paired with the holder before it in a share of the holders, and with the first one, so a line
-that very many documents have makes two pairs for each of them, not all pairs. A pair is aligned by
-patience diff on line hashes; runs of aligned lines that are next to each other in both documents are
-common blocks, and those of enough words are deleted from the later document (the larger doc_id).
+that very many documents have makes two pairs for each of them, not all pairs. Each holder of a least
+run of lines with enough words is paired with the first holder of that run too: every line of a common
+block lies in such a run inside the block, so a later holder of a block meets, for each of its lines,
+an earlier document with enough of the block around that line. A pair is aligned by patience diff on
+line hashes; runs of aligned lines that are next to each other in both documents are common blocks,
+and those of enough words are deleted from the later document (the larger doc_id).
 """
 
 from __future__ import annotations
@@ -122,8 +125,48 @@ def lined(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema).where(F.size("hashes") > 0)
 
 
-def overlapping(documents: DataFrame) -> DataFrame:
-    """Pairs (later, earlier) of documents (doc_id, hashes) that share a line."""
+def least_runs(doc: np.ndarray, value: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document and hash of the runs of several lines with at least ``least`` words: from each line the
+    shortest one that begins with it, and the shortest one that ends with it."""
+    reached = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(words, out=reached[1:])
+    at = np.arange(len(words))
+    ends = np.searchsorted(reached, reached[:-1] + least)
+    begins = np.searchsorted(reached, reached[1:] - least, "right") - 1
+    begin, end = np.concatenate((at, begins)), np.concatenate((ends, at + 1))
+    good = (begin >= 0) & (end <= len(words)) & (end - begin > 1)  # one line is a candidate anyway
+    begin, end = begin[good], end[good]
+    within = doc[begin] == doc[end - 1]
+    begin, end = begin[within], end[within]
+    return doc[begin], W.span_hashes(value, begin, end)
+
+
+def distinct(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((value, doc))
+    doc, value = doc[order], value[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
+    return doc[new], value[new]
+
+
+def runs_held(documents: DataFrame, least: int) -> DataFrame:
+    """(doc_id, run) of documents (doc_id, hashes, words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, words = batch.column("hashes"), batch.column("words").flatten().to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(batch.num_rows), hashes.value_lengths().to_numpy(zero_copy_only=False))
+            value = hashes.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            own, found = least_runs(doc, value, words, least)
+            if len(own):
+                own, found = distinct(own, found.view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(own)), pa.array(found)], ["doc_id", "run"])
+
+    return documents.select("doc_id", "hashes", "words").mapInArrow(run, "doc_id long, run long")
+
+
+def overlapping(documents: DataFrame, least: int) -> DataFrame:
+    """Pairs (later, earlier) of documents (doc_id, hashes, words) that share a line or a least run."""
     holders = documents.select("doc_id", F.explode(F.array_distinct("hashes")).alias("line"))
     holders = holders.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
     inside = Window.partitionBy("line", "share").orderBy("doc_id")
@@ -132,7 +175,11 @@ def overlapping(documents: DataFrame) -> DataFrame:
     # A line's holders join its one first holder; a line with very many is split by the planner.
     paired = chained.join(first.select("line", "first"), "line")
     partners = F.explode(F.array_distinct(F.array("before", "first"))).alias("earlier")
-    return paired.select(F.col("doc_id").alias("later"), partners).where("earlier < later").distinct()
+    lines = paired.select(F.col("doc_id").alias("later"), partners)
+    runs = runs_held(documents, least)
+    first = runs.groupBy("run").agg(F.min("doc_id").alias("earlier"), F.count("*").alias("n")).where("n > 1")
+    more = runs.join(first, "run").select(F.col("doc_id").alias("later"), "earlier")
+    return lines.unionByName(more).where("earlier < later").distinct()
 
 
 def deduplicated(documents: DataFrame, least: int = MIN_WORDS) -> tuple[DataFrame, list[str]]:
@@ -152,7 +199,7 @@ def deduplicated(documents: DataFrame, least: int = MIN_WORDS) -> tuple[DataFram
     rows = rows.join(ids, ["doc_id", "text_hash"]).dropDuplicates(["doc_id"])
     rows.write.parquet(f"{folder}/documents")
     rows = spark.read.parquet(f"{folder}/documents")
-    pairs = overlapping(rows)
+    pairs = overlapping(rows, least)
     later = rows.select(F.col("doc_id").alias("later"), "text_hash", "places", "hashes", "words")
     earlier = rows.select(F.col("doc_id").alias("earlier"), F.col("hashes").alias("other"))
     both = pairs.join(later, "later").join(earlier, "earlier").select(
