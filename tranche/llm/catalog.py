@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tranche.llm import chat, decontaminate, jaccard, lines, mixing, quality, sharding, tokens, toxicity, vectors
+from tranche.llm import (
+    chat, decontaminate, jaccard, lines, mixing, quality, sharding, tokens, toxicity, trie, vectors,
+)
 from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
 from tranche.session import run_folder
@@ -241,3 +243,61 @@ FROM spans GROUP BY conv_id, perspective, chunk
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return lines.deduplicated(documents)[0]
+
+
+@registered
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    found = trie.prefix_trie(trie.grafted(trie.ordered(table(spark, folder, "conversations"))))
+    nodes = found.nodes.join(trie.digests_of_ends(found.ends), "id", "left")
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(b""), 256)).alias("ends_sha256"),
+    )
+
+
+SQL["op12_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id AS c, role, text, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) - 1 AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)
+), members AS (
+    SELECT c, c - c % 5 AS base, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(1, length(c::VARCHAR) + 1),
+            lambda i: unicode(substr(c::VARCHAR, i::INT, 1))::BIGINT)),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+            lambda x, step: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 9 AS h
+    FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+    SELECT m.c, 0 AS part, t.place, t.role, t.text FROM members m JOIN turns t ON t.c = m.base AND t.place < m.h
+    UNION ALL
+    SELECT m.c, 1, t.place, t.role, t.text FROM members m JOIN turns t ON t.c = m.c AND t.place >= m.h
+), numbered AS (
+    SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY part, place) AS depth,
+        count(*) OVER (PARTITION BY c) AS length
+    FROM rebuilt
+), steps AS (
+    SELECT c, depth, length, strlen(text) AS size, list(sha256(strlen(role) || ':' || role || text))
+        OVER (PARTITION BY c ORDER BY depth) AS key
+    FROM numbered
+    UNION ALL
+    SELECT m.c, 0, coalesce(max(n.depth), 0), 0, []
+    FROM members m LEFT JOIN numbered n ON n.c = m.c GROUP BY m.c
+), nodes AS (
+    SELECT key, depth, count(*) AS n_convs, min(c) AS c, min(size) AS size,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (depth = length), '')) AS ends_sha256
+    FROM steps GROUP BY key, depth
+), children AS (
+    SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), valued AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * size AS saved
+    FROM nodes LEFT JOIN children USING (key)
+), totals AS (
+    SELECT s.key, sum((v.n_children = 0)::BIGINT) AS n_leaves, sum(v.saved) AS saved_tokens
+    FROM valued v JOIN steps s ON s.c = v.c AND s.depth <= v.depth GROUP BY s.key
+)
+SELECT v.c AS conv_id, v.depth::BIGINT AS depth, p.c AS parent_conv_id, v.n_convs, v.n_children,
+    t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+FROM valued v JOIN totals t USING (key)
+LEFT JOIN nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.key = v.key[1:v.depth - 1]
+"""
