@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tranche.llm import (
-    chat, decontaminate, jaccard, lines, mixing, quality, sharding, tokens, toxicity, trie, vectors,
+    alignment, chat, decontaminate, jaccard, lines, mixing, quality, sharding, tokens, toxicity, trie, vectors,
 )
 from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
@@ -81,6 +81,13 @@ def tokenizer_definition(name: str = "byte_bpe_50k.json") -> str:
         return file.read()
 
 
+def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
 @registered
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = f"{run_folder(spark)}/tokens"
@@ -301,3 +308,8 @@ SELECT v.c AS conv_id, v.depth::BIGINT AS depth, p.c AS parent_conv_id, v.n_conv
 FROM valued v JOIN totals t USING (key)
 LEFT JOIN nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.key = v.key[1:v.depth - 1]
 """
+
+
+@registered
+def op13_align_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), tokenizer_definition(), piece_model())
