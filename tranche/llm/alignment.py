@@ -16,11 +16,13 @@ A pair that all documents hold is one entry in each run, so no key is hot. With
 one merge reads about as many pairs as one run has, whatever the corpus holds.
 
 Texts are encoded in units that neither tokenizer joins: they are cut before a space that follows
-anything but white space. A unit met before by the worker is not encoded again.
+anything but white space. A unit met before by the worker is not encoded again, and new ones are encoded
+many at a time.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import itertools
@@ -40,12 +42,15 @@ from tranche.session import settle
 
 RUN_RECORDS = 2_000_000
 #: Units remembered in each of two generations, and the longest one that is.
-REMEMBERED, LONGEST = 100_000, 48
+REMEMBERED, LONGEST = 200_000, 48
 #: Documents are encoded in slices of about so many characters.
 SLICE_CHARS = 2_000_000
+#: Units encoded in one call.
+TOGETHER = 500
 #: In groups with more links than this, equal ids are counted before they are paired.
 SMALL_GROUP = 256
 CUT = re.compile(r"(?<=\S)(?= +\S)")
+SPACED = re.compile(r"[^\S ] ")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 RUN = "run string, radix int, kind int, data binary"
 DOCUMENTS, PAIRS, RECORDS, TOTALS = range(4)
@@ -92,57 +97,76 @@ class Aligner:
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self.young: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
+        self.long: list[str] = []
+
+    def _cut(self, text: str) -> list[str]:
+        """The units of a space and ``text``, each without its first space."""
+        if not self.apart:
+            return [text]
+        if text[0] == " " or text[-1] == " " or "  " in text or SPACED.search(text):
+            return [u[1:] for u in CUT.split(f" {text}")]
+        return text.split(" ")
 
     def aligned(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, str] | None]:
         """For each text its links (weight << 32 | a << 16 | b; a pair may come several times), the numbers of
         tokens of A and B, groups and links, and its groups as text; None if it has no tokens."""
-        cut = [CUT.split(f" {t}") if self.apart else [f" {t}"] for t in texts]
-        found = self._found(set(itertools.chain.from_iterable(cut)))
-        result = []
-        for text, units in zip(texts, cut):
-            entries = [found[u] for u in units] if text else [None]
-            if None in entries:
+        cut = [self._cut(t) if t else [] for t in texts]
+        self._meet(set(itertools.chain.from_iterable(cut)))
+        known, result = self.young.__getitem__, []
+        for units in cut:
+            entries = list(map(known, units))
+            if not entries or None in entries:
                 result.append(None)
                 continue
-            links = np.frombuffer(b"".join([e[0] for e in entries]), np.uint64)
-            sizes = np.frombuffer(b"".join([e[1] for e in entries]), np.int64).reshape(-1, 4).sum(axis=0)
-            result.append((links, sizes, ";".join([e[2] for e in entries])))
+            links, sizes, groups = zip(*entries)
+            sizes = np.frombuffer(b"".join(sizes), np.int64).reshape(-1, 4).sum(axis=0)
+            result.append((np.frombuffer(b"".join(links), np.uint64), sizes, ";".join(groups)))
+        self._forget()
         return result
 
-    def _found(self, units: set[str]) -> dict[str, tuple | None]:
-        found, new = {}, []
-        for unit in units:
-            if unit in self.young:
-                found[unit] = self.young[unit]
-            elif unit in self.old:
-                found[unit] = self.young[unit] = self.old[unit]
+    def _meet(self, units: set[str]) -> None:
+        """Make ``units`` known, in the young generation."""
+        new = []
+        for unit in units.difference(self.young):
+            if unit in self.old:
+                self.young[unit] = self.old[unit]
             else:
                 new.append(unit)
-        for unit, entry in zip(new, self._linked(new)):
-            found[unit] = entry
-            if len(unit) <= LONGEST:
-                self.young[unit] = entry
+        self.long = [u for u in new if len(u) > LONGEST]
+        # Units that end with white space are encoded alone, the others together.
+        alone = [[u] for u in new if not u or u[-1].isspace()]
+        joined = [u for u in new if u and not u[-1].isspace()] if self.apart else []
+        alone += [] if self.apart else [[u] for u in new if u and not u[-1].isspace()]
+        chunks = alone + [joined[k:k + TOGETHER] for k in range(0, len(joined), TOGETHER)]
+        broken = self._link(chunks)
+        for chunk in self._link([[u] for chunk in broken for u in chunk]):
+            self.young[chunk[0]] = None
+
+    def _forget(self) -> None:
+        for unit in self.long:
+            del self.young[unit]
         if len(self.young) > REMEMBERED:
             self.young, self.old = {}, self.young
-        return found
 
-    def _linked(self, units: list[str]) -> list[tuple | None]:
-        """Links, sizes and groups of each unit (None: a tokenizer's bytes differ from it)."""
-        if not units:
-            return []
-        ids_a = [x.ids for x in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        ids_b = self.b.encode([u[1:] for u in units], num_threads=1)
-        plain = [u.encode() for u in units]
+    def _link(self, chunks: list[list[str]]) -> list[list[str]]:
+        """Encode units, each chunk's together, and remember their links, sizes and groups. Chunks of which a
+        tokenizer's bytes differ from the text are returned."""
+        texts = [" " + " ".join(chunk) for chunk in chunks]
+        ids_a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)] if chunks else []
+        ids_b = self.b.encode([t[1:] for t in texts], num_threads=1) if chunks else []
         get_a, get_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
         good = [
-            b"".join(map(get_a, a)) == p and b"".join(map(get_b, b)) == p for a, b, p in zip(ids_a, ids_b, plain)
+            b"".join(map(get_a, a)) == p and b"".join(map(get_b, b)) == p
+            for a, b, p in zip(ids_a, ids_b, (t.encode() for t in texts))
         ]
-        ids_a = [x for x, ok in zip(ids_a, good) if ok]
-        ids_b = [x for x, ok in zip(ids_b, good) if ok]
-        flat_a = np.fromiter(itertools.chain.from_iterable(ids_a), np.int64)
-        flat_b = np.fromiter(itertools.chain.from_iterable(ids_b), np.int64)
+        broken = [chunk for chunk, ok in zip(chunks, good) if not ok]
+        units = [u for chunk, ok in zip(chunks, good) if ok for u in chunk]
+        if not units:
+            return broken
+        flat_a = np.fromiter(itertools.chain.from_iterable(x for x, ok in zip(ids_a, good) if ok), np.int64)
+        flat_b = np.fromiter(itertools.chain.from_iterable(x for x, ok in zip(ids_b, good) if ok), np.int64)
         ends_a, ends_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
-        unit_ends = np.cumsum([len(p) for p, ok in zip(plain, good) if ok])
+        unit_ends = np.cumsum([len(u) + 1 if u.isascii() else len(u.encode()) + 1 for u in units])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)  # holds the units' ends
         size_a = np.diff(np.searchsorted(ends_a, common, "right"), prepend=0)
         size_b = np.diff(np.searchsorted(ends_b, common, "right"), prepend=0)
@@ -153,41 +177,50 @@ class Aligner:
         step = np.arange(len(group)) - np.repeat(np.cumsum(held) - held, held)
         a = flat_a[first_a[group] + step // size_b[group]]
         b = flat_b[first_b[group] + step % size_b[group]]
-        links = (1 << 32 | a << 16 | b).astype(np.uint64)
-        large: dict[int, list[np.ndarray]] = {}
+        links = (1 << 32 | a << 16 | b).astype(np.uint64).tobytes()
         groups_to = np.searchsorted(common, unit_ends, "right")
+        large: dict[int, list[bytes]] = {}
         for g in np.flatnonzero(n_links > SMALL_GROUP):
-            own_a, times_a = np.unique(flat_a[first_a[g]:first_a[g] + size_a[g]], return_counts=True)
-            own_b, times_b = np.unique(flat_b[first_b[g]:first_b[g] + size_b[g]], return_counts=True)
-            weights = (times_a[:, None] * times_b[None, :]).astype(np.uint64)
-            pairs = (own_a[:, None] << 16 | own_b[None, :]).astype(np.uint64)
             unit = int(np.searchsorted(groups_to, g, "right"))
-            for at in range(0, len(own_a)):  # a weight of 32 bits at most
-                row = weights[at]
-                while row.any():
-                    part = np.minimum(row, np.uint64(0xFFFFFFFF))
-                    large.setdefault(unit, []).append((part << np.uint64(32) | pairs[at])[part > 0])
-                    row = row - part
-        names_a, names_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        texts = [
-            f"{names_a[i]}|{names_b[j]}" if m == 1 and n == 1 else f"{','.join(names_a[i:i + m])}|{','.join(names_b[j:j + n])}"
+            large.setdefault(unit, []).extend(
+                weighted(flat_a[first_a[g]:first_a[g] + size_a[g]], flat_b[first_b[g]:first_b[g] + size_b[g]])
+            )
+        names_a, names_b = flat_a.tolist(), flat_b.tolist()
+        shown = [
+            f"{names_a[i]}|{names_b[j]}" if m == 1 and n == 1
+            else f"{','.join(map(str, names_a[i:i + m]))}|{','.join(map(str, names_b[j:j + n]))}"
             for i, m, j, n in zip(first_a.tolist(), size_a.tolist(), first_b.tolist(), size_b.tolist())
         ]
-        counted = np.column_stack([
-            np.diff(x[groups_to], prepend=0)
-            for x in (np.append(0, np.cumsum(size_a)), np.append(0, np.cumsum(size_b)),
-                      np.arange(len(common) + 1), np.append(0, np.cumsum(n_links)))
-        ]).astype(np.int64)
-        links_to = np.append(0, np.cumsum(held))[groups_to].tolist()
-        result, unit, group_at, link_at = [], 0, 0, 0
-        for ok in good:
-            if not ok:
-                result.append(None)
-                continue
-            own = links[link_at:links_to[unit]].tobytes() + b"".join(x.tobytes() for x in large.get(unit, ()))
-            result.append((own, counted[unit].tobytes(), ";".join(texts[group_at:groups_to[unit]])))
-            group_at, link_at, unit = int(groups_to[unit]), links_to[unit], unit + 1
-        return result
+
+        def per_unit(x: np.ndarray) -> np.ndarray:
+            return np.diff(np.append(0, np.cumsum(x))[groups_to], prepend=0)
+
+        counted = np.column_stack([per_unit(x) for x in (size_a, size_b, np.ones(len(common)), n_links)])
+        counted = counted.astype(np.int64).tobytes()
+        links_to = (8 * np.append(0, np.cumsum(held))[groups_to]).tolist()
+        group_at = link_at = 0
+        for k, (unit, group_to, link_to) in enumerate(zip(units, groups_to.tolist(), links_to)):
+            self.young[unit] = (
+                links[link_at:link_to], counted[32 * k:32 * k + 32],
+                shown[group_at] if group_to == group_at + 1 else ";".join(shown[group_at:group_to]),
+            )
+            group_at, link_at = group_to, link_to
+        for k, more in large.items():
+            own, sizes, groups = self.young[units[k]]
+            self.young[units[k]] = (own + b"".join(more), sizes, groups)
+        return broken
+
+
+def weighted(a: np.ndarray, b: np.ndarray) -> Iterator[bytes]:
+    """The links of a large group: each id pair once, with its weight, or more often where that exceeds 32 bits."""
+    own_a, times_a = np.unique(a, return_counts=True)
+    own_b, times_b = np.unique(b, return_counts=True)
+    for x, times in zip(own_a.tolist(), times_a.tolist()):
+        pairs, rest = (x << 16 | own_b).astype(np.uint64), (times * times_b).astype(np.uint64)
+        while rest.any():
+            part = np.minimum(rest, np.uint64(0xFFFFFFFF))
+            yield (part << np.uint64(32) | pairs)[part > 0].tobytes()
+            rest = rest - part
 
 
 #: One aligner for each pair of tokenizers that a worker has met.
@@ -316,6 +349,7 @@ def align(documents: DataFrame, definition: str, model: bytes, digest: bool = Tr
 
     def spill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, held = aligner(*shared.value), Spill(radixes, digest)
+        gc.disable()  # many small objects and no cycles: counting references suffices
 
         def run() -> pa.RecordBatch:
             name = uuid.uuid4().hex
@@ -336,6 +370,7 @@ def align(documents: DataFrame, definition: str, model: bytes, digest: bool = Tr
                 at += len(some)
         if held.doc_ids:
             yield run()
+        gc.enable()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for batch in batches for r in zip(*[batch.column(k).to_pylist() for k in range(4)]))
