@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tranche.llm import (
-    alignment, chat, decontaminate, jaccard, lines, mixing, quality, sharding, tokens, toxicity, trie, vectors,
+    alignment, chat, decontaminate, jaccard, lines, mixing, personal, quality, sharding, tokens, toxicity, trie,
+    vectors,
 )
 from tranche.llm.frames import importable
 from tranche.llm.labelled import fold
@@ -252,6 +253,18 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.deduplicated(documents)[0]
 
 
+@registered
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.personal_spans(table(spark, folder, "documents"))
+    kinds = F.col("base.kind")
+    counts = [
+        (F.size("base") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(personal.KINDS)
+    ]
+    base = F.sha2(personal.listed(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), personal.listed(F.col("spans")).alias("spans"))
+
+
 @registered
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     found = trie.prefix_trie(trie.grafted(trie.ordered(table(spark, folder, "conversations"))))
