@@ -65,9 +65,9 @@ def test_long_runs():
 def corpus():
     source = random.Random(9)
     rows = []
-    for k in range(40):
+    for k in range(300):
         phone = f"+1 ({source.randint(200, 999)}) 555-{source.randint(1000, 9999)}"
-        rows.append((k, f"note {k}x please call me at {phone} before noon"))
+        rows.append((10_000 + k, f"note {k}x please call me at {phone} before noon"))
     # unseen forms in the same context, and one of them elsewhere
     rows += [(100, "please call me at 555-0199-22 before noon"), (101, "my number 555-0199-22 is new")]
     # a second round: the context of a discovered identifier only
