@@ -35,6 +35,16 @@ def local_session(name: str = "tranche", cores: int | None = None, memory: str =
     )
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package where it runs from a source folder."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; all executors must reach it."""
     context = spark.sparkContext
