@@ -8,7 +8,7 @@ from brute import SCHEMA
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tranche.llm import catalog, lines, mixing, tokens, toxicity
+from tranche.llm import catalog, encoding, lines, mixing, tokens, toxicity
 from tranche.llm import words as W
 from tranche.session import run_folder
 
@@ -42,7 +42,7 @@ def test_added_tokens_as_the_library_reads_them():
     added = [t.content for t in library.get_added_tokens_decoder().values()]
     assert added
     texts = ["plain text", *[x for t in added for x in (f"a {t} b", t, f"{t}{t} c", f"It's{t}", t[:3], t[3:])], None, "é"]
-    for text, ids in zip(texts, tokens.Encoder(definition, 2).encode(pa.array(texts, pa.string()))):
+    for text, ids in zip(texts, encoding.Encoder(definition, 2).encode(pa.array(texts, pa.string()))):
         assert ids.tolist() == [*library.encode(text or "", add_special_tokens=False).ids, 2], text
 
 

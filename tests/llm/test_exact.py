@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tranche.llm import catalog, chat, decontaminate, jaccard, lines, mixing, sharding, tokens, vectors
+from tranche.llm import catalog, chat, decontaminate, encoding, jaccard, lines, mixing, sharding, tokens, vectors
 from tranche.llm import words as W
 from tranche.session import run_folder
 
@@ -148,7 +148,6 @@ def test_token_files(spark, documents, texts):
 
     definition = catalog.tokenizer_definition()
     library = Tokenizer.from_str(definition)
-    library.encode_special_tokens = True
     folder = f"{run_folder(spark)}/tokens"
     manifest = tokens.write(documents, definition, folder, seq_len=64).collect()
     found = {r["doc_id"]: r for r in tokens.read(spark, folder).collect()}
@@ -171,7 +170,7 @@ def test_token_files(spark, documents, texts):
 
 @functools.cache
 def one_encoder():
-    return tokens.Encoder(catalog.tokenizer_definition(), 2)
+    return encoding.Encoder(catalog.tokenizer_definition(), 2)
 
 
 CHARACTERS = st.sampled_from([*"aZ1é.,'  \n\t\r \u0085ß½²ªstrevmld!?€字😀", "'s", "'re", "'ll", " '", " 's", "  "])

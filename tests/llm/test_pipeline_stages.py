@@ -51,7 +51,6 @@ def test_stages(spark, folder, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(catalog.tokenizer_definition())
-    library.encode_special_tokens = True
     start, want = 0, []
     for i, text, *_ in sorted(inputs["token_files"], key=lambda r: r[0]):
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")

@@ -2,7 +2,9 @@
 
 A byte-level tokenizer first cuts a text into pre-tokens and then encodes each for itself. Prose
 repeats its pre-tokens, so here they are cut in numpy, many documents at a time, and only those not
-met before go through the library. Which characters are letters, digits or white space is asked of
+met before go through the library. A worker keeps one encoder for all its tasks. Pre-tokens are told
+apart by their text: hashes only group those of one piece, and each is compared with the one that stands
+for its group. Which characters are letters, digits or white space is asked of
 the library. Texts with characters from FAST_LIMIT on or with the content of an added token (such as
 a literal <|endoftext|>, which the library makes one id), and tokenizers of another build, are
 encoded by the library as a whole; ids are the same either way.
@@ -10,6 +12,7 @@ encoded by the library as a whole; ids are the same either way.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 
@@ -19,8 +22,11 @@ import pyarrow as pa
 from tranche.llm import words as W
 
 FAST_LIMIT = 0x250
-#: Pre-tokens remembered by a worker; beyond that it starts anew.
-REMEMBERED = 200_000
+#: Pre-tokens remembered by a worker; beyond that, those not met since the last time are forgotten.
+REMEMBERED = 300_000
+PIECE_BYTES = 1 << 19
+#: Pre-tokens encoded in one call.
+LEARNED = 4_000
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
 #: Contractions that the pattern cuts off, by their first letter: fixed values of the byte-level pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -47,12 +53,21 @@ class Encoder:
         )
         if self.fast:
             self.classes = np.array([self._class(chr(c)) for c in range(FAST_LIMIT)], np.uint8)
-        self._forget()
+        self.known: dict[str, int] = {}
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.met = np.zeros(0, self.kind), np.zeros(0, bool)
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, self.kind)
+        """Keep the pre-tokens met since the last time; of more than half the room only the last ones."""
+        kept = np.flatnonzero(self.met)[-REMEMBERED // 2:]
+        place = np.full(len(self.met), -1)
+        place[kept] = np.arange(len(kept))
+        place = place.tolist()
+        self.known = {text: place[k] for text, k in self.known.items() if place[k] >= 0}
+        lengths, starts = self.lengths[kept], self.starts[kept]
+        self.flat = self.flat[gathered(starts, lengths)]
+        self.starts, self.lengths = np.cumsum(lengths) - lengths, lengths
+        self.met = np.zeros(len(kept), bool)
 
     def _class(self, char: str) -> int:
         def whole(text: str) -> bool:
@@ -67,7 +82,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text (null: empty), the end id included."""
         result: list[np.ndarray] = []
-        for piece in W.pieces(texts, lower=False):
+        for piece in W.pieces(texts, PIECE_BYTES, lower=False):
             result += self._piece(piece)
         return result
 
@@ -99,12 +114,16 @@ class Encoder:
         hashes = W.span_hashes(codes, begins, ends)
         keep = np.repeat(~slow, np.diff(counts))
         unique, first, back = np.unique(hashes[keep], return_index=True, return_inverse=True)
-        self._learn(text, unique, begins[keep][first], ends[keep][first])
-        at = np.array([self.known[h] for h in unique.tolist()], np.int64)[back] if len(unique) else back
+        own, model = (begins[keep], ends[keep]), first[back]
+        odd = unlike(codes, own[0], own[1], own[0][model], own[1][model])
+        if odd.any():  # different pre-tokens of one hash: their documents go through the library
+            slow[np.searchsorted(starts, own[0][odd], "right") - 1] = True
+            keep = np.repeat(~slow, np.diff(counts))
+            unique, first, back = np.unique(hashes[keep], return_index=True, return_inverse=True)
+            own = begins[keep], ends[keep]
+        at = self._learn(text, own[0][first], own[1][first])[back]
         lengths = self.lengths[at]
-        ids = self.flat[
-            np.repeat(self.starts[at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-        ]
+        ids = self.flat[gathered(self.starts[at], lengths)]
         per_token = np.zeros(len(hashes), np.int64)
         per_token[keep] = lengths
         reached = np.zeros(len(hashes) + 1, np.int64)
@@ -145,21 +164,49 @@ class Encoder:
                         break
         return np.flatnonzero(begin)
 
-    def _learn(self, text: str, hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+    def _learn(self, text: str, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the ids of the given pre-tokens are, after encoding those not known."""
         if len(self.known) > REMEMBERED:
             self._forget()
-        new = [k for k, h in enumerate(hashes.tolist()) if h not in self.known]
-        if not new:
-            return
-        found = [
-            x.ids
-            for x in self.library.encode_batch_fast(
-                [text[a:b] for a, b in zip(begins[new].tolist(), ends[new].tolist())], add_special_tokens=False
-            )
-        ]
-        lengths = np.array([len(x) for x in found], np.int64)
-        for k, h in enumerate(hashes[new].tolist()):
-            self.known[h] = len(self.starts) + k
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.flat = np.concatenate((self.flat, np.array([i for x in found for i in x], self.kind)))
+        found = [text[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
+        new = [x for x in found if x not in self.known]
+        for at in range(0, len(new), LEARNED):
+            some = new[at:at + LEARNED]
+            ids = [x.ids for x in self.library.encode_batch_fast(some, add_special_tokens=False)]
+            lengths = np.array([len(x) for x in ids], np.int64)
+            for k, x in enumerate(some):
+                self.known[x] = len(self.starts) + k
+            self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
+            self.lengths = np.concatenate((self.lengths, lengths))
+            self.flat = np.concatenate((self.flat, np.array([i for x in ids for i in x], self.kind)))
+            self.met = np.concatenate((self.met, np.ones(len(some), bool)))
+        at = np.array([self.known[x] for x in found], np.int64)
+        self.met[at] = True
+        return at
+
+
+def gathered(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of spans, one after another."""
+    return np.repeat(starts - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+
+
+def unlike(codes: np.ndarray, begin: np.ndarray, end: np.ndarray, other: np.ndarray, other_end: np.ndarray) -> np.ndarray:
+    """Which spans differ from another one in length or in any character."""
+    lengths = end - begin
+    differ = lengths != other_end - other
+    lengths = np.where(differ, 0, lengths)
+    unequal = codes[gathered(begin, lengths)] != codes[gathered(other, lengths)]
+    if unequal.any():
+        differ[np.repeat(np.arange(len(begin)), lengths)[unequal]] = True
+    return differ
+
+
+#: One encoder for each tokenizer and end id that a worker has met.
+_encoders: dict[tuple[bytes, int], Encoder] = {}
+
+
+def encoder(definition: str, end_id: int) -> Encoder:
+    key = hashlib.sha256(definition.encode()).digest(), end_id
+    if key not in _encoders:
+        _encoders[key] = Encoder(definition, end_id)
+    return _encoders[key]

@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tranche.llm.encoding import Encoder
+from tranche.llm.encoding import encoder as remembered
 
 SEQ_LEN = 2048
 BATCH_ROWS = 256
@@ -154,7 +154,7 @@ def write(
             if batch.num_rows and writer is None:
                 part = batch.column("part")[0].as_py()
                 name = f"part-{part:06d}-{uuid.uuid4().hex}"
-                encoder = Encoder(shared.value, end_id)
+                encoder = remembered(shared.value, end_id)
                 writer = SequenceWriter(folder, name, encoder.kind, seq_len)
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)

@@ -1,7 +1,7 @@
 """Words and their hashes from Arrow text columns, many documents at a time in numpy.
 
 Texts are cut at byte level: every separator named here is ASCII, and in UTF-8 no byte of a longer
-character is. Documents are handled in pieces of about a megabyte, so memory follows the longest
+character is. Documents are handled in pieces of about a quarter megabyte, so memory follows the longest
 text, not the batch. Word hashes have 64 bits.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
