@@ -23,10 +23,10 @@ from tranche.llm import words as W
 
 FAST_LIMIT = 0x250
 #: Pre-tokens remembered by a worker; beyond that, those not met since the last time are forgotten.
-REMEMBERED = 300_000
-PIECE_BYTES = 1 << 19
+REMEMBERED = 600_000
+PIECE_BYTES = 1 << 20
 #: Pre-tokens encoded in one call.
-LEARNED = 4_000
+LEARNED = 2_000
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
 #: Contractions that the pattern cuts off, by their first letter: fixed values of the byte-level pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -52,6 +52,9 @@ class Encoder:
             and not parts.get("normalizer")
         )
         if self.fast:
+            tokens = self.library.get_vocab()  # a character of a token stands for a byte
+            self.widths = np.zeros(max(tokens.values()) + 1, np.int64)
+            self.widths[list(tokens.values())] = [len(x) for x in tokens]
             self.classes = np.array([self._class(chr(c)) for c in range(FAST_LIMIT)], np.uint8)
         self.known: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -164,21 +167,43 @@ class Encoder:
                         break
         return np.flatnonzero(begin)
 
+    def _apart(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each pre-token, one after another, and how many each has."""
+        ids = [x.ids for x in self.library.encode_batch_fast(found, add_special_tokens=False)] if found else []
+        return np.array([i for x in ids for i in x], self.kind), np.array([len(x) for x in ids], np.int64)
+
+    def _together(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of a space and letters, which are encoded as running text: each begins a pre-token
+        there. Token lengths tell where one word ends."""
+        if not found:
+            return self._apart(found)
+        ids = np.array(self.library.encode_batch_fast(["".join(found)], add_special_tokens=False)[0].ids, self.kind)
+        ends = np.cumsum(self.widths[ids])
+        words = np.cumsum([len(x) if x.isascii() else len(x.encode()) for x in found])
+        to = np.searchsorted(ends, words, "right")
+        if not len(ends) or to[0] == 0 or ends[-1] != words[-1] or (ends[to - 1] != words).any():
+            return self._apart(found)
+        return ids, np.diff(to, prepend=0)
+
     def _learn(self, text: str, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where the ids of the given pre-tokens are, after encoding those not known."""
         if len(self.known) > REMEMBERED:
             self._forget()
         found = [text[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
         new = [x for x in found if x not in self.known]
+        plain = [x for x in new if x[0] == " " and x[1:].isalpha()]
+        if len(plain) < len(new):
+            rest = set(plain)
+            new = plain + [x for x in new if x not in rest]
         for at in range(0, len(new), LEARNED):
             some = new[at:at + LEARNED]
-            ids = [x.ids for x in self.library.encode_batch_fast(some, add_special_tokens=False)]
-            lengths = np.array([len(x) for x in ids], np.int64)
-            for k, x in enumerate(some):
-                self.known[x] = len(self.starts) + k
+            joined = some[:max(0, len(plain) - at)]
+            parts = [self._together(joined), self._apart(some[len(joined):])]
+            ids, lengths = (np.concatenate(x) for x in zip(*parts))
+            self.known.update(zip(some, range(len(self.starts), len(self.starts) + len(some))))
             self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
             self.lengths = np.concatenate((self.lengths, lengths))
-            self.flat = np.concatenate((self.flat, np.array([i for x in ids for i in x], self.kind)))
+            self.flat = np.concatenate((self.flat, ids))
             self.met = np.concatenate((self.met, np.ones(len(some), bool)))
         at = np.array([self.known[x] for x in found], np.int64)
         self.met[at] = True
