@@ -7,6 +7,7 @@ text, not the batch. Word hashes have 64 bits.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,9 +15,13 @@ import numpy as np
 import pyarrow as pa
 
 PIECE_BYTES = 1 << 18
+#: After so many bytes of text a worker gives freed memory back, since it lives on in later stages.
+RELEASE_BYTES = 1 << 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+_handled = 0
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -46,6 +51,17 @@ class Piece:
     starts: np.ndarray
 
 
+def released(handled: int) -> None:
+    """Count handled bytes, and give freed memory back to the system from time to time."""
+    global _handled
+    _handled += handled
+    if _handled >= RELEASE_BYTES:
+        _handled = 0
+        pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
+
+
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES, lower: bool = True) -> Iterator[Piece]:
     """Cut a text column (null: empty) into pieces of about ``limit`` bytes; a longer text is one piece."""
     texts = texts.fill_null("").cast(pa.large_string())
@@ -62,7 +78,10 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES, lower: bool = True) -> Ite
         part = data[offsets[first]:offsets[last]].copy()
         if lower:
             part[(part >= 65) & (part <= 90)] += 32
+        size = len(part)
         yield Piece(first, last, part, offsets[first:last + 1] - offsets[first])
+        del part
+        released(size)
         first = last
 
 
