@@ -2,7 +2,11 @@
 
 Texts are cut at byte level: every separator named here is ASCII, and in UTF-8 no byte of a longer
 character is. Documents are handled in pieces of about a quarter megabyte, so memory follows the longest
-text, not the batch. Word hashes have 64 bits.
+text, not the batch.
+
+Hashes of spans are polynomials modulo two primes with fixed random bases, 62 bits together: two
+different spans of n items have one hash for at most n of 2 ** 31 bases of each prime. (Modulo
+2 ** 64 there are texts that agree for every base.)
 """
 
 from __future__ import annotations
@@ -18,12 +22,14 @@ PIECE_BYTES = 1 << 18
 #: After so many bytes of text a worker gives freed memory back, since it lives on in later stages.
 RELEASE_BYTES = 1 << 24
 BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Primes below 2 ** 31 and the base used with each.
+MODULI = ((2147483629, 1382400769), (2147483587, 907633385))
+#: Below so many bytes, sums of byte times power stay below 2 ** 64 without reduction.
+UNREDUCED = 1 << 23
 
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
 _handled = 0
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+_powers: dict[tuple[int, int], np.ndarray] = {}
 
 
 def separators(keep: str | None = None) -> np.ndarray:
@@ -94,23 +100,33 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverses
-    if len(_powers) < size:
-        steps = np.full(size, BASE, np.uint64)
-        steps[0] = 1
-        _powers = np.cumprod(steps)
-        steps[1:] = INVERSE
-        _inverses = np.cumprod(steps)
-    return _powers, _inverses
+def _table(base: int, prime: int, size: int) -> np.ndarray:
+    """The powers of ``base`` modulo ``prime`` from 0 to at least ``size`` - 1, doubled as needed."""
+    known = _powers.get((base, prime), np.ones(1, np.uint64))
+    while len(known) < size:
+        step = np.uint64(pow(base, len(known), prime))
+        known = np.concatenate((known, known * step % np.uint64(prime)))
+    _powers[base, prime] = known
+    return known
 
 
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of each span of bytes, from running sums of a polynomial."""
-    powers, inverses = _tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)], out=sums[1:])
-    return mixed((sums[end] - sums[begin]) * inverses[begin] + (end - begin).astype(np.uint64) * BASE)
+    """A hash of each span of bytes (or numbers), from running sums of two polynomials."""
+    small = data.dtype.itemsize == 1 and len(data) < UNREDUCED
+    parts = []
+    for prime, base in MODULI:
+        modulus = np.uint64(prime)
+        powers = _table(base, prime, len(data) + 1)
+        terms = data.astype(np.uint64) if small else data.astype(np.uint64) % modulus
+        terms += np.uint64(1)
+        terms *= powers[:len(data)]
+        if not small:
+            terms %= modulus
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(terms, out=sums[1:])
+        inverses = _table(pow(base, -1, prime), prime, len(data) + 1)
+        parts.append((sums[end] - sums[begin]) % modulus * inverses[begin] % modulus)
+    return mixed(((parts[0] << np.uint64(31)) | parts[1]) + (end - begin).astype(np.uint64) * BASE)
 
 
 @dataclass
