@@ -1,13 +1,16 @@
 """Line deduplication by pairwise alignment.
 
-Documents overlap where they share a line that is not in one document only. Each holder of such a
-line is paired with the holder before it in a share of the holders, and with the first one, so a line
-that very many documents have makes two pairs for each of them, not all pairs. Each holder of a least
-run of lines with enough words is paired with the first holder of that run too: every line of a common
-block lies in such a run inside the block, so a later holder of a block meets, for each of its lines,
-an earlier document with enough of the block around that line. A pair is aligned by patience diff on
-line hashes; runs of aligned lines that are next to each other in both documents are common blocks,
-and those of enough words are deleted from the later document (the larger doc_id).
+Documents overlap where they share a run of lines. A single line, a licence's say, is often frequent,
+so candidates are found through least runs: from each line the shortest run with enough words that
+begins with it, and the shortest one that ends with it. A run is as rare as its rarest line or rarer, and
+every line of a common block lies in such a run inside the block. Each holder of a run is paired with
+the run's first holder, so a run that very many documents have makes one pair for each of them.
+
+A pair is aligned by patience diff on hashes of the lines that lie in shared runs; aligned lines that are
+next to each other in both documents are common blocks, and those of enough words are deleted from the
+later document (the larger doc_id). What is left is aligned again with the whole earlier document,
+since a block may lie crosswise to another, until no shared run is left. So a line goes exactly if it
+lies in a run of lines of enough words that some earlier document has too, whichever pair finds it.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tranche.llm import words as W
@@ -27,8 +30,6 @@ from tranche.session import run_folder
 
 #: Words of a common block that is deleted, at least.
 MIN_WORDS = 50
-#: Shares among which the holders of a line are dealt out to find the one before.
-SHARES = 64
 
 
 def lines_of(piece: W.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -89,21 +90,45 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(matches)
 
 
-def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> list[int]:
-    """Indices of the lines of ``a`` in common blocks of at least ``least`` words."""
+def blocks_once(at: list[int], a: list[int], b: list[int], words: list[int], least: int) -> list[int]:
+    """The lines (indices ``at``) of ``a`` that one alignment with ``b`` puts in blocks of enough words."""
     found: list[int] = []
     block: list[int] = []
     last = (-2, -2)
-    for i, j in [*aligned(a, b), (-9, -9)]:
-        if (i, j) != (last[0] + 1, last[1] + 1):
+    for i, j in [*aligned([a[k] for k in at], b), (-9, -9)]:
+        line = at[i] if i >= 0 else i
+        if (line, j) != (last[0] + 1, last[1] + 1):
             if sum(words[k] for k in block) >= least:
                 found += block
             block = []
-        block.append(i)
-        last = (i, j)
+        block.append(line)
+        last = (line, j)
     return found
 
 
+def run_spans(words: list[int], least: int) -> list[tuple[int, int]]:
+    """Begin and end of the least runs of a document."""
+    begin, end = spans_of(np.zeros(len(words), np.int64), np.array(words, np.int64), least)
+    return sorted(set(zip(begin.tolist(), end.tolist())))
+
+
+def common_blocks(a: list[int], b: list[int], words: list[int], other: list[int], least: int) -> list[int]:
+    """Indices of the lines of ``a`` in common blocks of at least ``least`` words. ``other``: the words of
+    the lines of ``b``."""
+    held = {tuple(b[i:j]) for i, j in run_spans(other, least)}
+    shared = [(i, j) for i, j in run_spans(words, least) if tuple(a[i:j]) in held]
+    found: set[int] = set()
+    while shared:
+        left = sorted({k for i, j in shared for k in range(i, j)} - found)
+        new = blocks_once(left, a, b, words, least)
+        if not new:  # what is left of runs cut by other blocks, or kept apart by repeated lines, goes run by run
+            cut = [run for run in shared if not found.isdisjoint(range(*run))]
+            new = [k for run in cut or shared[:1] for k in range(*run)]
+        found.update(new)
+        shared = [(i, j) for i, j in shared if not found.issuperset(range(i, j))]
+    return sorted(found)
+
+
 def lined(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, places, hashes, words) of documents with words."""
 
@@ -125,19 +150,24 @@ def lined(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema).where(F.size("hashes") > 0)
 
 
-def least_runs(doc: np.ndarray, value: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Document and hash of the runs of several lines with at least ``least`` words: from each line the
-    shortest one that begins with it, and the shortest one that ends with it."""
+def spans_of(doc: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the least runs with at least ``least`` words, none across documents."""
     reached = np.zeros(len(words) + 1, np.int64)
     np.cumsum(words, out=reached[1:])
     at = np.arange(len(words))
     ends = np.searchsorted(reached, reached[:-1] + least)
     begins = np.searchsorted(reached, reached[1:] - least, "right") - 1
     begin, end = np.concatenate((at, begins)), np.concatenate((ends, at + 1))
-    good = (begin >= 0) & (end <= len(words)) & (end - begin > 1)  # one line is a candidate anyway
+    good = (begin >= 0) & (end <= len(words))
     begin, end = begin[good], end[good]
     within = doc[begin] == doc[end - 1]
-    begin, end = begin[within], end[within]
+    return begin[within], end[within]
+
+
+def least_runs(doc: np.ndarray, value: np.ndarray, words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document and hash of the least runs: from each line the shortest one with at least ``least`` words
+    that begins with it, and the shortest one that ends with it."""
+    begin, end = spans_of(doc, words, least)
     return doc[begin], W.span_hashes(value, begin, end)
 
 
@@ -166,20 +196,13 @@ def runs_held(documents: DataFrame, least: int) -> DataFrame:
 
 
 def overlapping(documents: DataFrame, least: int) -> DataFrame:
-    """Pairs (later, earlier) of documents (doc_id, hashes, words) that share a line or a least run."""
-    holders = documents.select("doc_id", F.explode(F.array_distinct("hashes")).alias("line"))
-    holders = holders.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)))
-    inside = Window.partitionBy("line", "share").orderBy("doc_id")
-    chained = holders.withColumn("before", F.lag("doc_id").over(inside))
-    first = chained.groupBy("line").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    # A line's holders join its one first holder; a line with very many is split by the planner.
-    paired = chained.join(first.select("line", "first"), "line")
-    partners = F.explode(F.array_distinct(F.array("before", "first"))).alias("earlier")
-    lines = paired.select(F.col("doc_id").alias("later"), partners)
+    """Pairs (later, earlier): each document (doc_id, hashes, words) with the first holder of each of its
+    least runs."""
     runs = runs_held(documents, least)
     first = runs.groupBy("run").agg(F.min("doc_id").alias("earlier"), F.count("*").alias("n")).where("n > 1")
-    more = runs.join(first, "run").select(F.col("doc_id").alias("later"), "earlier")
-    return lines.unionByName(more).where("earlier < later").distinct()
+    # A run's holders join its one first holder; a run with very many is split by the planner.
+    pairs = runs.join(first, "run").select(F.col("doc_id").alias("later"), "earlier")
+    return pairs.where("earlier < later").distinct()
 
 
 def deduplicated(documents: DataFrame, least: int = MIN_WORDS) -> tuple[DataFrame, list[str]]:
@@ -201,17 +224,19 @@ def deduplicated(documents: DataFrame, least: int = MIN_WORDS) -> tuple[DataFram
     rows = spark.read.parquet(f"{folder}/documents")
     pairs = overlapping(rows, least)
     later = rows.select(F.col("doc_id").alias("later"), "text_hash", "places", "hashes", "words")
-    earlier = rows.select(F.col("doc_id").alias("earlier"), F.col("hashes").alias("other"))
+    earlier = rows.select(F.col("doc_id").alias("earlier"), F.col("hashes").alias("other"), F.col("words").alias("lengths"))
     both = pairs.join(later, "later").join(earlier, "earlier").select(
-        "later", "text_hash", "places", "hashes", "words", "other"
+        "later", "text_hash", "places", "hashes", "words", "other", "lengths"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                hashes, other, words, places = (batch.column(c).to_pylist() for c in ("hashes", "other", "words", "places"))
-                found = [common_blocks(a, b, w, least) for a, b, w in zip(hashes, other, words)]
+                hashes, other, words, lengths, places = (
+                    batch.column(c).to_pylist() for c in ("hashes", "other", "words", "lengths", "places")
+                )
+                found = [common_blocks(*pair, least) for pair in zip(hashes, other, words, lengths)]
                 lines = [[p[k] for k in f] for p, f in zip(places, found)]
                 counts = [[w[k] for k in f] for w, f in zip(words, found)]
                 yield pa.RecordBatch.from_arrays(
@@ -223,16 +248,18 @@ def deduplicated(documents: DataFrame, least: int = MIN_WORDS) -> tuple[DataFram
     gone = blocks.select("doc_id", "text_hash", F.explode(F.arrays_zip("lines", "words")).alias("line")).distinct()
     # At most the lines of a document are gathered.
     gone = gone.groupBy("doc_id", "text_hash").agg(
-        F.collect_set("line.lines").alias("__gone"), F.sum("line.words").alias("__words")
-    ).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__gone", "__words")
-    names = [fresh(n, documents.columns) for n in ("removed_lines", "removed_words")]
+        F.collect_set("line.lines").alias("places"), F.sum("line.words").alias("n")
+    )
+    own, text_hash, places, n = (fresh(x, documents.columns) for x in ("__id", "__hash", "__gone", "__words"))
+    gone = gone.toDF(own, text_hash, places, n)
+    names = [fresh(x, documents.columns) for x in ("removed_lines", "removed_words")]
     joined = documents.join(
-        gone, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left"
+        gone, (F.col("doc_id").cast("long") == F.col(own)) & (F.xxhash64("text") == F.col(text_hash)), "left"
     )
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("__gone", i))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(places, i))
+    text = F.when(F.col(places).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in documents.columns],
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias(names[0]),
-        F.coalesce("__words", F.lit(0)).cast("long").alias(names[1]),
+        F.when(F.col(places).isNull(), 0).otherwise(F.size(places)).cast("long").alias(names[0]),
+        F.coalesce(n, F.lit(0)).cast("long").alias(names[1]),
     ), names
