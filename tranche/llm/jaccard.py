@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tranche.llm import words as W
 from tranche.llm.components import components
+from tranche.llm.frames import fresh
 from tranche.session import run_folder, small_side
 
 SHINGLE = 5
@@ -342,5 +343,6 @@ def deduplicated(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     """The documents whose id is the least of their component, with their own columns. Rows of the same id
     share their fate; documents without shingles or id all stay."""
     found = linked_documents(documents, size).where("n_shingles > 0 and doc_id is not null")
-    away = found.where("doc_id != component_id").select(F.col("doc_id").alias("__away")).distinct()
-    return documents.join(small_side(away), F.col("doc_id").cast("long") == F.col("__away"), "left_anti")
+    name = fresh("__away", documents.columns)
+    away = found.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
+    return documents.join(small_side(away), F.col("doc_id").cast("long") == F.col(name), "left_anti")
