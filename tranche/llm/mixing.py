@@ -94,10 +94,9 @@ def mix(
 
     def counted(df: DataFrame) -> DataFrame:
         joined = df.join(table, F.col("source").eqNullSafe(F.col(source)))
-        draw = F.aggregate(
-            F.sequence(F.lit(1), F.col("parts")), F.lit(0),
-            lambda n, i: n + F.size(F.filter("steps", lambda c: uniform("count", seed, F.col("doc_id"), i) >= c)),
-        )
+        # Each part's number is drawn once, then compared with every step.
+        numbers = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda i: uniform("count", seed, F.col("doc_id"), i))
+        draw = F.aggregate(numbers, F.lit(0), lambda n, u: n + F.size(F.filter("steps", lambda c: u >= c)))
         drawn = joined.withColumn(copies, draw).where(F.col(copies) > 0)
         exploded = drawn.select(*[F.col(f"`{c}`") for c in df.columns], F.explode(F.sequence(F.lit(1), copies)).alias(copy))
         keyed = exploded.withColumn(key, _hash("order", seed, F.col("doc_id"), F.col(copy)))
