@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tranche.llm import words as W
 from tranche.llm.frames import with_columns
+from tranche.session import run_folder
 
 WINDOW = 13
 #: A document is contaminated if it has hits and this many times the hit words are at least its words.
@@ -109,7 +110,7 @@ class Group:
         return hits
 
 
-def groups(items: list[tuple[str, str | None]], window: int) -> list[Group]:
+def groups(items: list[tuple[str | None, str]], window: int) -> list[Group]:
     """The patterns of some benchmark items, by length."""
     ids = [i for i, _ in items]
     by_length: dict[int, dict[bytes, tuple[np.ndarray, set[str]]]] = {}
@@ -123,7 +124,8 @@ def groups(items: list[tuple[str, str | None]], window: int) -> list[Group]:
                     piece.data[found.begin[k]:found.end[k]].tobytes() + b" " for k in range(begin, begin + size)
                 )
                 own = by_length.setdefault(int(size), {}).setdefault(text, (found.hash[begin:begin + size], set()))
-                own[1].add(ids[piece.first + d])
+                if ids[piece.first + d] is not None:
+                    own[1].add(ids[piece.first + d])
     return [Group.of(length, found) for length, found in sorted(by_length.items())]
 
 
@@ -151,17 +153,13 @@ def covered(spans: list[int]) -> int:
     return total
 
 
-def passes(benchmark: DataFrame) -> list[list[tuple[str, str | None]]]:
+def blocks_of(benchmark: DataFrame) -> list[DataFrame]:
     """The benchmark in blocks of about PASS_BYTES."""
-    own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text")).where(
-        F.col("item_id").isNotNull() & F.col("text").isNotNull()
-    )
+    own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text")).where(F.col("text").isNotNull())
     size = own.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = -(-size // PASS_BYTES)
-    if blocks <= 1:
-        return [[tuple(r) for r in own.collect()]]
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    return [[tuple(r) for r in own.where(block == k).collect()] for k in range(blocks)]
+    count = max(1, -(-size // PASS_BYTES))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
+    return [own.where(block == k) for k in range(count)] if count > 1 else [own]
 
 
 def contamination(
@@ -171,15 +169,17 @@ def contamination(
     items_sha256, contaminated.
 
     Words are runs of lower-case letters, digits and characters beyond ASCII, after A-Z are lowered.
-    Null and empty texts have no words and are clean; items without id or text are no patterns. An
-    empty benchmark leaves all documents clean, an empty document table stays empty. Repeated rows
-    are judged each. A benchmark over PASS_BYTES is searched for in several passes in one job.
+    Null and empty texts have no words and are clean. Items without text are no patterns; those
+    without id are searched like others, but neither counted nor listed as items. An empty benchmark
+    leaves all documents clean, an empty document table stays empty. Repeated rows are judged each. A
+    benchmark over PASS_BYTES is searched for in several passes, each written before the next one's
+    patterns are made, so the driver and the executors hold one block at a time.
     """
     spark = documents.sparkSession
-    blocks = passes(benchmark)
+    blocks = blocks_of(benchmark)
     rows, state = documents, []
-    for number, items in enumerate(blocks):
-        shared = spark.sparkContext.broadcast(groups(items, window))
+    for number, block in enumerate(blocks):
+        shared = spark.sparkContext.broadcast(groups([tuple(r) for r in block.collect()], window))
         last = number == len(blocks) - 1
 
         def compute(batch: pa.RecordBatch, shared=shared, state=tuple(state), last=last) -> list[pa.Array]:
@@ -205,6 +205,11 @@ def contamination(
             if last else f"__spans{number} array<long>, __items{number} array<string>"
         )
         rows, state = with_columns(rows, added, compute)
+        if not last:
+            folder = run_folder(spark)
+            rows.write.parquet(folder)
+            shared.unpersist()
+            rows = spark.read.parquet(folder)
     return rows.select(*documents.columns, *state), state
 
 
