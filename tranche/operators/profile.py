@@ -101,12 +101,13 @@ def quartiles(df: DataFrame) -> DataFrame:
     return quantile_values(values, "value", [0.25, 0.5, 0.75], ["column_name"])
 
 
-def medians_and_outliers(df: DataFrame) -> DataFrame:
+def medians_and_outliers(df: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
     """Median, and the count outside 1.5 × IQR of the quartiles.
 
-    With an IQR of zero every value other than the quartile counts.
+    With an IQR of zero every value other than the quartile counts. ``cuts``: quartiles known already,
+    for instance merged from stored sketches (``sketches.merged_quantiles``); exact ones if not given.
     """
-    cuts = settle(quartiles(df))
+    cuts = settle(quartiles(df) if cuts is None else cuts)
     iqr = F.col("q3") - F.col("q1")
     value = F.col("value")
     outside = (value < F.col("q1") - 1.5 * iqr) | (value > F.col("q3") + 1.5 * iqr)

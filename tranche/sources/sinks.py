@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,33 @@ def store_table(
     return conform(stored, table) if table in TABLES else stored
 
 
+def stored_schema(spark: SparkSession, path: str) -> dict[str, str] | None:
+    """Columns and types of a stored table, None if there is none yet."""
+    try:
+        return dict(spark.read.parquet(path).dtypes)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def replace_partitions(df: DataFrame, folder: str, table: str, partition_by: str) -> DataFrame:
+    """Replace the partitions that ``df`` has rows of and return the whole stored table.
+
+    Files of other partitions stay as they are, and the same rows written again give the same content,
+    so a failed or repeated run does no harm. Columns must be those of the stored table and are cast to
+    its types, since all files are read with one schema. ``df`` must not read the table it replaces parts of.
+    """
+    known = stored_schema(df.sparkSession, f"{folder}/{table}")
+    if known is not None:
+        if set(known) != set(df.columns):
+            raise ValueError(f"{table} has columns {sorted(known)}, not {sorted(df.columns)}")
+        df = df.select(*[F.col(c) if c == partition_by else F.col(c).cast(known[c]).alias(c) for c in df.columns])
+    out = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
+    out.option("partitionOverwriteMode", "dynamic").parquet(f"{folder}/{table}")
+    return df.sparkSession.read.parquet(f"{folder}/{table}")
+
+
 def store_loans(df: DataFrame, folder: str) -> DataFrame:
     """Loans by origination year, so date filters read only their years."""
     return store_table(df, folder, "loans", partition_by="origination_year")
@@ -73,6 +101,26 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def footer_reader(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster in which counts of parquet tables come from the files' footers."""
+    own = spark.newSession()
+    row_sources = [s for s in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if s != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(row_sources))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own
+
+
+def footer_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """(table_name, rows) of stored parquet tables; no column is read."""
+    own = footer_reader(spark)
+    return load_counts({name: own.read.parquet(path) for name, path in paths.items()})
+
+
+def footer_counts_by(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
+    """(partition_by, rows) of a stored table's partitions; no column is read."""
+    return footer_reader(spark).read.parquet(path).groupBy(partition_by).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Report rows as JSON lines; reports have one row per table, column and metric."""
     df.write.mode("overwrite").json(path)
