@@ -26,6 +26,9 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 MODULI = ((2147483629, 1382400769), (2147483587, 907633385))
 #: Below so many bytes, sums of byte times power stay below 2 ** 64 without reduction.
 UNREDUCED = 1 << 23
+#: Tables of powers up to this size are kept; a longer text makes its own. LOW: rows of the lower table.
+KEPT = 1 << 20
+LOW = 1 << 10
 
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
 _handled = 0
@@ -100,13 +103,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _power(base: int, prime: int, exponents: np.ndarray) -> np.ndarray:
+    """Powers of ``base`` modulo ``prime``, from two tables of LOW and as many rows as the largest needs."""
+    modulus = np.uint64(prime)
+    low = _table(base, prime, LOW)
+    high = _table(pow(base, LOW, prime), prime, int(exponents.max(initial=0)) // LOW + 1)
+    return low[exponents % LOW].astype(np.uint64) * high[exponents // LOW] % modulus
+
+
 def _table(base: int, prime: int, size: int) -> np.ndarray:
     """The powers of ``base`` modulo ``prime`` from 0 to at least ``size`` - 1, doubled as needed."""
-    known = _powers.get((base, prime), np.ones(1, np.uint64))
+    known = _powers.get((base, prime), np.ones(1, np.uint32))
     while len(known) < size:
         step = np.uint64(pow(base, len(known), prime))
-        known = np.concatenate((known, known * step % np.uint64(prime)))
-    _powers[base, prime] = known
+        known = np.concatenate((known, (known * step % np.uint64(prime)).astype(np.uint32)))
+    if size <= KEPT:
+        _powers[base, prime] = known
     return known
 
 
@@ -116,16 +128,16 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     parts = []
     for prime, base in MODULI:
         modulus = np.uint64(prime)
-        powers = _table(base, prime, len(data) + 1)
         terms = data.astype(np.uint64) if small else data.astype(np.uint64) % modulus
         terms += np.uint64(1)
-        terms *= powers[:len(data)]
+        terms *= _table(base, prime, len(data) + 1)[:len(data)]
         if not small:
             terms %= modulus
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(terms, out=sums[1:])
-        inverses = _table(pow(base, -1, prime), prime, len(data) + 1)
-        parts.append((sums[end] - sums[begin]) % modulus * inverses[begin] % modulus)
+        del terms
+        shift = _power(pow(base, -1, prime), prime, np.asarray(begin, np.int64))
+        parts.append((sums[end] - sums[begin]) % modulus * shift % modulus)
     return mixed(((parts[0] << np.uint64(31)) | parts[1]) + (end - begin).astype(np.uint64) * BASE)
 
 
