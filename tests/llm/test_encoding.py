@@ -7,6 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tranche.llm import catalog, encoding
+from tranche.llm import words as W
 
 
 @pytest.fixture(scope="module")
@@ -54,3 +55,16 @@ def test_long_text(definition):
     text = " ".join(f"word{k} and" for k in range(120_000))
     assert len(text) > 1 << 20
     same(encoding.Encoder(definition, 2), definition, ["", None, text, "after"])
+
+
+def test_idle_memory_is_dropped(definition):
+    """Text that other operators handle empties what the encoder remembers; ids stay the same."""
+    encoder = encoding.Encoder(definition, 2)
+    texts = ["some words, and some more", "x" * 300_000 + " words"]
+    for _ in range(3):  # its own text does not
+        same(encoder, definition, texts)
+    assert encoder.known
+    for _ in W.pieces(pa.array(["y" * (W.IDLE_BYTES // 2)] * 2)):
+        assert encoder.known
+    assert not encoder.known and not len(encoder.flat)
+    same(encoder, definition, texts)

@@ -24,7 +24,7 @@ from tranche.llm import words as W
 FAST_LIMIT = 0x250
 #: Pre-tokens remembered by a worker; beyond that, those not met since the last time are forgotten.
 REMEMBERED = 400_000
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Pre-tokens encoded in one call.
 LEARNED = 2_000
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
@@ -56,6 +56,10 @@ class Encoder:
             self.widths = np.zeros(max(tokens.values()) + 1, np.int64)
             self.widths[list(tokens.values())] = [len(x) for x in tokens]
             self.classes = np.array([self._class(chr(c)) for c in range(FAST_LIMIT)], np.uint8)
+        self._empty()
+
+    def _empty(self) -> None:
+        """Forget all pre-tokens."""
         self.known: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat, self.met = np.zeros(0, self.kind), np.zeros(0, bool)
@@ -87,6 +91,7 @@ class Encoder:
         result: list[np.ndarray] = []
         for piece in W.pieces(texts, PIECE_BYTES, lower=False):
             result += self._piece(piece)
+            W.in_use(self._empty)
         return result
 
     def _whole(self, text: str) -> np.ndarray:

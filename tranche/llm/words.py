@@ -12,7 +12,7 @@ different spans of n items have one hash for at most n of 2 ** 31 bases of each
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +21,8 @@ import pyarrow as pa
 PIECE_BYTES = 1 << 18
 #: After so many bytes of text a worker gives freed memory back, since it lives on in later stages.
 RELEASE_BYTES = 1 << 24
+#: What a worker remembers for one operator it drops after so many bytes of text handled by others.
+IDLE_BYTES = 1 << 22
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Primes below 2 ** 31 and the base used with each.
 MODULI = ((2147483629, 1382400769), (2147483587, 907633385))
@@ -33,6 +35,8 @@ LOW = 1 << 10
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
 _handled = 0
 _powers: dict[tuple[int, int], np.ndarray] = {}
+#: For each memory in use, what empties it, and the bytes handled since its last use.
+_memories: dict[Callable[[], None], int] = {}
 
 
 def separators(keep: str | None = None) -> np.ndarray:
@@ -60,11 +64,24 @@ class Piece:
     starts: np.ndarray
 
 
+def in_use(empty: Callable[[], None]) -> None:
+    """Note that a memory is in use now; ``empty`` is called once others have handled IDLE_BYTES since."""
+    _memories[empty] = 0
+
+
 def released(handled: int) -> None:
-    """Count handled bytes, and give freed memory back to the system from time to time."""
+    """Count handled bytes, drop memories that lie idle, and give freed memory back to the system from time to time."""
     global _handled
     _handled += handled
-    if _handled >= RELEASE_BYTES:
+    idle = []
+    for empty in _memories:
+        _memories[empty] += handled
+        if _memories[empty] >= IDLE_BYTES:
+            idle.append(empty)
+    for empty in idle:
+        del _memories[empty]
+        empty()
+    if _handled >= RELEASE_BYTES or idle:
         _handled = 0
         pa.default_memory_pool().release_unused()
         if _trim is not None:
