@@ -558,6 +558,7 @@ MODEL_NUMBERS = {
     "debt_service_pressure":
         f"CAST(coupon_rate AS DOUBLE) * CAST(leverage AS DOUBLE) / {COVERAGE}",
 }
+MODEL_INPUTS = (*MODEL_NUMBERS, "sector", "loan_type", "collateral", "initial_rating", "origination_month")
 # Three models on two splits plus the chosen cut-off on both; 99 cut-offs; 18 features.
 EXPORT_COUNTS = {
     "Fact_Loans": "SELECT count(*) FROM loans",
@@ -966,6 +967,12 @@ def oracle() -> dict[str, str]:
         "logistic_score_check": loans(
             "SELECT count(*) AS loans, CAST(0 AS BIGINT) AS differing FROM loans"
         ),
+        "importance_agreement": unions([f"SELECT '{name}' AS feature, true AS agrees" for name in MODEL_INPUTS]),
+        "feature_dependence": loans(unions([
+            *[f"SELECT '{name}' AS feature, CAST(0 AS BIGINT) AS changed" for name in MODEL_INPUTS],
+            "SELECT 'waited', count(*) FILTER (survival_months <> maturity_months) FROM loans",
+            "SELECT 'pressure', count(*) FILTER (CAST(pd_annual AS DOUBLE) > 0.02) FROM loans",
+        ])),
         "scaled_feature_moments": unions(
             [f"SELECT '{name}' AS feature, CAST(0 AS DOUBLE) AS mean, CAST(1 AS DOUBLE) AS deviation"
              for name in MODEL_NUMBERS]

@@ -621,6 +621,36 @@ def logistic_importance(spark, folder):
     return importance.permutation_importance(model, rows.where("data_split = 'test'"))
 
 
+@registered
+def importance_agreement(spark, folder):
+    """Whether exchanging a logistic model's terms gives the drops that scoring changed copies gives."""
+    rows = prepared(spark, folder)
+    model = models.fit_models(rows.where("data_split = 'train'"), SETTINGS, (models.LOGISTIC,))[models.LOGISTIC]
+    test = settle(rows.where("data_split = 'test'").select("loan_id", features.TARGET, *features.MODEL_FEATURES))
+    by_terms, by_copies = (
+        importance.precision_drops(way(model, test, 1, SETTINGS.seed)).select("feature", F.col("importance_mean").alias(n))
+        for n, way in (("terms", importance.scored_by_terms), ("copies", importance.scored_copies))
+    )
+    return by_terms.join(by_copies, "feature").select(
+        "feature", (F.abs(F.col("terms") - F.col("copies")) < 1e-6).alias("agrees")
+    )
+
+
+@registered
+def feature_dependence(spark, folder):
+    """Loans in which a model feature changes without the forbidden columns; two leaks are planted."""
+
+    def build(rows):
+        return features.model_features(rows).withColumns({
+            "waited": F.coalesce("survival_months", "maturity_months"),
+            "pressure": F.coalesce(F.col("pd_annual").cast("double"), F.lit(0.0)) > 0.02,
+        })
+
+    forbidden = (features.TARGET, *schemas.POST_OUTCOME, *schemas.RISK_OUTPUTS)
+    names = (*features.MODEL_FEATURES, "waited", "pressure")
+    return rules.changed_without(build, settle(enriched(spark, folder)), "loan_id", names, forbidden)
+
+
 @registered
 def batch_scores(spark, folder):
     """All loans scored by a model that was stored and loaded again."""

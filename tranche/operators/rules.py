@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -186,3 +186,24 @@ def leaking_features(features: Iterable[str]) -> list[str]:
     """Features that are known only after the outcome or come from another risk model."""
     forbidden = set(POST_OUTCOME) | set(RISK_OUTPUTS)
     return sorted(set(features) & forbidden)
+
+
+def changed_without(
+    build: Callable[[DataFrame], DataFrame], source: DataFrame, key: str, names: Sequence[str], forbidden: Sequence[str]
+) -> DataFrame:
+    """(feature, changed): in how many rows each of ``names`` that ``build`` computes from ``source``
+    changes, or comes or goes with its row, once the forbidden columns are empty.
+
+    With no change the values follow from the other columns alone, whatever the columns are called and
+    whichever steps lie between. ``key`` identifies the rows that ``build`` returns.
+    """
+    present = {f.name: f.dataType for f in source.schema.fields if f.name in set(forbidden)}
+    emptied = source.withColumns({n: F.lit(None).cast(t) for n, t in present.items()})
+    before = build(source).select(key, F.struct(*names).alias("before"))
+    after = build(emptied).select(key, F.struct(*names).alias("after"))
+    both = before.join(after, key, "full")
+    moved = F.col("before").isNull() | F.col("after").isNull()
+    counts = both.agg(*[
+        F.count_if(moved | ~F.col("before")[n].eqNullSafe(F.col("after")[n])).alias(n) for n in names
+    ])
+    return counts.unpivot([], list(names), "feature", "changed")
