@@ -16,7 +16,7 @@ from tranche import schemas
 from tranche.learning import features, importance, models, training
 from tranche.operators import enrich, metrics, ordering, profile, rules, scoring
 from tranche.plans import pipeline, reports
-from tranche.session import run_folder, settle
+from tranche.session import compilable, parts_for, run_folder, settle
 from tranche.sources import files, shapes, sinks, versions
 
 SETTINGS = models.Settings()
@@ -49,7 +49,7 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 def registered(query: Query) -> Query:
-    REGISTERED[query.__name__] = lambda spark, folder: plain(query(spark, folder))
+    REGISTERED[query.__name__] = lambda spark, folder: plain(query(compilable(spark), folder))
     return query
 
 

@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 # A side is broadcast only when it is measured to be no larger than this.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 16 << 20
+# Rows that one task of a sized shuffle handles, about.
+TASK_ROWS = 1_000_000
+# HotSpot never compiles a method of more bytes; Spark generates up to 65,535 unless told.
+HOTSPOT_METHOD_BYTES = 8_000
 
 
 def local_session(name: str = "tranche", cores: int | None = None, memory: str = "12g") -> SparkSession:
@@ -25,8 +29,7 @@ def local_session(name: str = "tranche", cores: int | None = None, memory: str =
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # Above this many bytes HotSpot leaves a generated method uncompiled.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.sql.codegen.hugeMethodLimit", str(HOTSPOT_METHOD_BYTES))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -56,6 +59,19 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def compilable(spark: SparkSession) -> SparkSession:
+    """Keep generated methods within what the JVM compiles: wide projections run several times faster,
+    with the same results. A lower limit set by the user stays."""
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > HOTSPOT_METHOD_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", HOTSPOT_METHOD_BYTES)
+    return spark
+
+
+def parts_for(df: DataFrame) -> int:
+    """Shuffle partitions that hold about TASK_ROWS rows each, however many rows there are."""
+    return max(1, -(-df.count() // TASK_ROWS))
+
+
 def run_folder(spark: SparkSession) -> str:
     """A new path for one run's tables, below the shared folder."""
     return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
