@@ -369,9 +369,12 @@ def table_constraints(spark, folder):
 @registered
 def item_rules(spark, folder):
     """Row rules and a composite key on items, where both are violated."""
-    items = shapes.star(spark, folder, "lineitem").join(
-        shapes.star(spark, folder, "orders").select("o_orderkey", "o_orderdate"),
-        F.col("l_orderkey") == F.col("o_orderkey"),
+    items = shapes.star(spark, folder, "lineitem")
+    parts = parts_for(items)
+    orders = shapes.star(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    # Both sides are dealt by their number, so the sort of one task does not grow with the input.
+    items = items.repartition(parts, "l_orderkey").join(
+        orders.repartition(parts, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
     ).select("l_orderkey", "l_linenumber", "l_discount", "l_shipdate", "o_orderdate")
     table = schemas.Table(
         "lineitem",
@@ -382,7 +385,7 @@ def item_rules(spark, folder):
             "discount_below_nine_percent": "l_discount < 0.09D",
         },
     )
-    found = rules.constraint_report(items, table).unionByName(rules.key_report(items, table))
+    found = rules.constraint_report(items, table).unionByName(rules.key_report(items, table, parts))
     return found
 
 

@@ -9,13 +9,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tranche.schemas import POST_OUTCOME, RISK_OUTPUTS, Table
+from tranche.session import parts_for
 
+# Tasks that share the rows of one key in the search for repeated keys.
+SHARES = 16
 LATEST_DEFAULT = "2024-12-31"
 
 
-def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """(key…, n) of keys held by more than one row."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def duplicate_keys(df: DataFrame, key: Sequence[str], parts: int | None = None) -> DataFrame:
+    """(key…, n) of keys held by more than one row.
+
+    Nearly all keys differ, so counts per task would hold as many keys as the task has rows. Rows are
+    dealt by key into ``parts`` (by their number) instead, so a task's memory does not grow with the
+    input; rows of one key are shared out, and their counts added up after that.
+    """
+    parts = parts_for(df) if parts is None else parts
+    share = F.pmod(F.spark_partition_id(), F.lit(SHARES))
+    dealt = df.select(*key, share.alias("__share")).repartition(parts, *key, "__share")
+    counts = dealt.groupBy(*key, "__share").agg(F.count(F.lit(1)).alias("n"))
+    whole = counts.repartition(parts, *key).groupBy(*key).agg(F.sum("n").alias("n"))
+    return whole.where("n > 1")
 
 
 def repeated_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -87,9 +100,9 @@ def constraint_report(df: DataFrame, table: Table) -> DataFrame:
     return row.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
 
 
-def key_report(df: DataFrame, table: Table) -> DataFrame:
+def key_report(df: DataFrame, table: Table, parts: int | None = None) -> DataFrame:
     """The primary-key rule in the form of `constraint_report`."""
-    return duplicate_keys(df, table.key).agg(
+    return duplicate_keys(df, table.key, parts).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations"),
         F.min(F.concat_ws("|", *table.key)).alias("sample_key"),
     ).select(
