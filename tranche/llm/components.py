@@ -2,7 +2,7 @@
 
 Each round hooks every node's larger neighbours to its least neighbour, then its smaller ones, until
 every edge leads from a node to the least of its component. A round is a few joins and aggregations
-on edges and is written to the shared folder; nothing is gathered per node.
+on edges and is written to the shared folder; nothing is gathered per node, and no side goes to the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tranche.session import run_folder
+from tranche.session import measured, run_folder
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,16 +18,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Loops and repeated edges do no harm; without edges there are no rows.
     """
-    spark = edges.sparkSession
-    folder = run_folder(spark)
-
-    def stored(df: DataFrame, name: str) -> tuple[DataFrame, tuple]:
-        df.write.parquet(f"{folder}/{name}")
-        kept = spark.read.parquet(f"{folder}/{name}")
-        checks = kept.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.bool_or(F.col("a") <= F.col("b"))
+    folder = run_folder(edges.sparkSession)
+
+    def stored(df: DataFrame, name: str) -> tuple[DataFrame, dict]:
+        return measured(
+            df, f"{folder}/{name}",
+            check=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), wrong=F.bool_or(F.col("a") <= F.col("b")),
         )
-        return kept, tuple(checks.first())
 
     ordered = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     current, state = stored(ordered, "edges0")
@@ -37,9 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
             current.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = large.join(least.hint("merge"), "u")
         small = small.select(F.col("u").alias("a"), F.col("m").alias("b")).unionByName(
             small.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         )

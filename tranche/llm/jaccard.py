@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tranche.llm import words as W
 from tranche.llm.components import components
 from tranche.llm.frames import fresh
-from tranche.session import run_folder, small_side
+from tranche.session import BROADCAST_ROWS, counted_side, measured, run_folder, small_side
 
 SHINGLE = 5
 #: Linked at PERCENT or more of the union.
@@ -106,11 +106,10 @@ def surveyed(documents: DataFrame, size: int, folder: str) -> tuple[DataFrame, n
             yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(blobs, pa.binary())], ["row", "counts"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows.mapInArrow(run, "doc_id long, n_shingles long, cls long, row int, counts binary").write.parquet(folder)
-    seen = documents.sparkSession.read.parquet(folder)
+    seen, _ = measured(rows.mapInArrow(run, "doc_id long, n_shingles long, cls long, row int, counts binary"), folder)
     added = seen.where("row is not null").select("row", "counts").repartition("row").mapInArrow(add, "row int, counts binary")
     counters = np.zeros((COUNTERS // COUNTERS_ROW, COUNTERS_ROW), np.uint32)
-    for row in added.toLocalIterator():  # COUNTERS numbers at any size of the input
+    for row in added.collect():  # COUNTERS numbers at any size of the input
         counters[row["row"]] = np.frombuffer(row["counts"], "<u4")
     return seen.where("row is null").select("doc_id", "n_shingles", "cls"), counters.ravel()
 
@@ -154,7 +153,7 @@ def possible(na, nb, tail_a, tail_b):
 
 
 def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(cls, items): the sets of the classes that the wanted documents (rep) are in."""
+    """(cls, items): the sets of the classes that the wanted documents (rep, each once) are in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,8 +163,7 @@ def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(set_keys(counts, doc, value)), items], ["cls", "items"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    # A list of ids is broadcast if a count proves it short; else both sides are shuffled.
-    rows = rows.join(small_side(wanted.select("rep").distinct()), "rep", "left_semi")
+    rows = rows.join(wanted, "rep", "left_semi")
     return rows.select("text").mapInArrow(run, "cls long, items array<long>")
 
 
@@ -182,8 +180,7 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     folder = run_folder(spark)
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return measured(df, f"{folder}/{name}")[0]
 
     seen, counters = surveyed(documents, size, f"{folder}/seen")
     classes = stored(
@@ -219,12 +216,12 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     regions = regions.withColumn("pivot", first).withColumn("members", F.count("*").over(own))
     regions = stored(regions.where("members > 1").drop("members"), "regions0")
 
-    number = 0
+    number, links = 0, 0  # links: found since the components were made
     compared: DataFrame | None = None
 
     def compare(pairs: DataFrame) -> None:
         """Compare pairs (a, b, na, nb) whose sizes allow a link and that were not compared before."""
-        nonlocal number, compared
+        nonlocal number, links, compared
         swap = F.col("a") > F.col("b")
         pairs = pairs.where((F.col("a") != F.col("b")) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")))
         pairs = pairs.select(
@@ -234,23 +231,28 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
         ).distinct()
         if compared is not None:
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"pairs{number}")
+        pairs, count = measured(pairs, f"{folder}/pairs{number}")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
-        sets = stored(sets_of(documents, wanted, size), f"sets{number}")
-        # Sets move once to meet those of the other side; lists of pairs are broadcast if small.
-        left = sets.toDF("a", "sa").join(small_side(pairs), "a")
-        right = sets.toDF("b", "sb").join(small_side(pairs.select("b").distinct()), "b", "left_semi")
+        wanted, reps = measured(wanted.select("rep").distinct(), f"{folder}/wanted{number}")
+        # Lists of ids and of pairs are broadcast if counts prove them short; else both sides are shuffled.
+        sets = stored(sets_of(documents, counted_side(wanted, reps["rows"]), size), f"sets{number}")
+        # Sets move once to meet those of the other side.
+        left = sets.toDF("a", "sa").join(counted_side(pairs, count["rows"]), "a")
+        second = pairs.select("b").distinct()
+        second = F.broadcast(second) if count["rows"] <= BROADCAST_ROWS else small_side(second)
+        right = sets.toDF("b", "sb").join(second, "b", "left_semi")
         both = left.join(right, "b")
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         both = both.select("a", "b", "na", "nb", common.alias("common"))
         union = F.col("na") + F.col("nb") - F.col("common")
-        stored(
-            both.distinct().select("a", "b", (1 - F.col("common") / union).alias("distance"),
-                        (100 * F.col("common") >= PERCENT * union).alias("linked")),
-            f"compared/round={number}",
+        found = both.distinct().select(
+            "a", "b", (1 - F.col("common") / union).alias("distance"),
+            (100 * F.col("common") >= PERCENT * union).alias("linked"),
         )
+        _, seen_here = measured(found, f"{folder}/compared/round={number}", linked=F.count_if("linked"))
         number += 1
-        compared = spark.read.parquet(f"{folder}/compared").drop("round")
+        links += seen_here["linked"] or 0
+        compared = spark.read.schema(found.schema).parquet(f"{folder}/compared").drop("round")
 
     def with_distance(pairs: DataFrame) -> DataFrame:
         """``pairs`` (…, a, b) with their distance, null where they were not compared."""
@@ -258,8 +260,10 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
         known = compared.select(F.col("a").alias("x"), F.col("b").alias("y"), "distance")
         return keyed.join(known, ["x", "y"], "left").drop("x", "y")
 
-    def connected() -> DataFrame:
-        return components(compared.where("linked").select("a", "b"))
+    def connected(name: str) -> DataFrame:
+        nonlocal links
+        links = 0
+        return stored(components(compared.where("linked").select("a", "b")), name)
 
     pivot = F.col("pivot")
     star = regions.where(F.col("cls") != pivot["cls"]).select(
@@ -275,14 +279,15 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     depth = 0
     while True:
         depth += 1
-        roots = stored(connected(), f"roots{depth}")
+        if depth == 1 or links:  # else the components are as before
+            roots = connected(f"roots{depth}")
         root = F.coalesce("component", "cls")
         state = regions.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", root).drop("component")
         # In a region whose classes are all connected nothing is left to find.
         state = state.withColumn("members", F.count("*").over(own))
         state = state.withColumn("least", F.min("root").over(own)).withColumn("most", F.max("root").over(own))
-        state = stored(state.where("least != most").drop("least", "most"), f"open{depth}")
-        if state.isEmpty():
+        state, count = measured(state.where("least != most").drop("least", "most"), f"{folder}/open{depth}")
+        if not count["rows"]:
             break
         small = state.where((F.col("members") <= LEAF) | F.col("whole"))
         left, right = (
@@ -300,11 +305,13 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
         drawn = F.row_number().over(own.orderBy(F.xxhash64("cls", F.lit(depth)), "cls"))
         pivots = large.withColumn("best", best).withColumn("drawn", drawn)
         pivots = pivots.where(F.least("best", "drawn") <= PIVOTS // 2)
-        pivots = stored(pivots.select("region", F.col("cls").alias("b"), F.col("n").alias("nb")), f"pivots{depth}")
+        pivots, count = measured(
+            pivots.select("region", F.col("cls").alias("b"), F.col("n").alias("nb")), f"{folder}/pivots{depth}"
+        )
         star = large.select("region", F.col("cls").alias("a"), F.col("n").alias("na"), "tail", "members").join(pivots, "region")
         compare(pairs.unionByName(star.select("a", "b", "na", "nb")))
-        if pivots.isEmpty():
-            roots = stored(connected(), f"roots{depth + 1}")
+        if not count["rows"]:
+            roots = connected(f"roots{depth + 1}") if links else roots
             break
         # Voronoi cells, with boundary classes in more than one; pivots go
         reach = with_distance(star.where("a != b")).join(
@@ -345,4 +352,5 @@ def deduplicated(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     found = linked_documents(documents, size).where("n_shingles > 0 and doc_id is not null")
     name = fresh("__away", documents.columns)
     away = found.where("doc_id != component_id").select(F.col("doc_id").alias(name)).distinct()
-    return documents.join(small_side(away), F.col("doc_id").cast("long") == F.col(name), "left_anti")
+    away, count = measured(away, f"{run_folder(documents.sparkSession)}/away")
+    return documents.join(counted_side(away, count["rows"]), F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,24 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def measured(df: DataFrame, folder: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` as a table into ``folder`` and read it back, with its number of rows (``rows``) and the given
+    aggregates, which the writing job makes: no further job counts, and none infers the schema."""
+    seen = Observation()
+    wanted = {"rows": F.count(F.lit(1)), **measures}
+    df.observe(seen, *[value.alias(name) for name, value in wanted.items()]).write.parquet(folder)
+    got = seen.get
+    found = {name: got.get(name) for name in wanted}
+    found["rows"] = found["rows"] or 0  # a plan that turns out empty may be run without its measures
+    return df.sparkSession.read.schema(df.schema).parquet(folder), found
+
+
+def counted_side(df: DataFrame, rows: int) -> DataFrame:
+    """``small_side`` for columns of fixed width, whose rows are counted already (or at most ``rows``)."""
+    fits = rows <= BROADCAST_ROWS and 16 * len(df.columns) * rows <= BROADCAST_BYTES
+    return F.broadcast(df) if fits else df
+
+
 def _width(field: T.StructField) -> Column:
     """Bytes of a value: measured where they vary."""
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
