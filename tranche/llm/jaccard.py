@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tranche.llm import words as W
 from tranche.llm.components import components
 from tranche.llm.frames import fresh
-from tranche.session import BROADCAST_ROWS, counted_side, measured, run_folder, small_side
+from tranche.session import counted_side, measured, run_folder, shuffles_dropped
 
 SHINGLE = 5
 #: Linked at PERCENT or more of the union.
@@ -152,8 +152,14 @@ def possible(na, nb, tail_a, tail_b):
     return sizes & ((100 + PERCENT) * F.least(tail_a, tail_b) >= PERCENT * (na + nb))
 
 
-def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(cls, items): the sets of the classes that the wanted documents (rep, each once) are in."""
+def wanted_texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(text, is_a, is_b) of the wanted documents (rep, each once, and the flags)."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    return rows.join(wanted, "rep").select("text", "is_a", "is_b")
+
+
+def sets_of(texts: DataFrame, size: int) -> DataFrame:
+    """(cls, items): the set of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,9 +168,7 @@ def sets_of(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 items = pa.ListArray.from_arrays(pa.array(offsets), pa.array(value.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(set_keys(counts, doc, value)), items], ["cls", "items"])
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    rows = rows.join(wanted, "rep", "left_semi")
-    return rows.select("text").mapInArrow(run, "cls long, items array<long>")
+    return texts.select("text").mapInArrow(run, "cls long, items array<long>")
 
 
 def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -176,6 +180,11 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
     Documents with a null id are counted but link with nothing (component null). Repeated rows come
     back each. An empty table gives no rows. Other columns are not read.
     """
+    with shuffles_dropped(documents.sparkSession):
+        return _linked(documents, size)
+
+
+def _linked(documents: DataFrame, size: int) -> DataFrame:
     spark = documents.sparkSession
     folder = run_folder(spark)
 
@@ -232,15 +241,18 @@ def linked_documents(documents: DataFrame, size: int = SHINGLE) -> DataFrame:
         if compared is not None:
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         pairs, count = measured(pairs, f"{folder}/pairs{number}")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
-        wanted, reps = measured(wanted.select("rep").distinct(), f"{folder}/wanted{number}")
+        ends = F.explode(F.array(*[
+            F.struct(F.col(end).alias("cls"), F.lit(end == "a").alias("is_a"), F.lit(end == "b").alias("is_b")) for end in "ab"
+        ]))
+        wanted = pairs.select(ends.alias("end")).select("end.*").distinct().join(classes, "cls")
+        wanted = wanted.groupBy("rep").agg(F.bool_or("is_a").alias("is_a"), F.bool_or("is_b").alias("is_b"))
+        wanted, reps = measured(wanted, f"{folder}/wanted{number}")
         # Lists of ids and of pairs are broadcast if counts prove them short; else both sides are shuffled.
-        sets = stored(sets_of(documents, counted_side(wanted, reps["rows"]), size), f"sets{number}")
+        # Texts are stored, at less than half the bytes of their sets, and either side makes its own sets from them.
+        texts = stored(wanted_texts(documents, counted_side(wanted, reps["rows"])), f"texts{number}")
         # Sets move once to meet those of the other side.
-        left = sets.toDF("a", "sa").join(counted_side(pairs, count["rows"]), "a")
-        second = pairs.select("b").distinct()
-        second = F.broadcast(second) if count["rows"] <= BROADCAST_ROWS else small_side(second)
-        right = sets.toDF("b", "sb").join(second, "b", "left_semi")
+        left = sets_of(texts.where("is_a"), size).toDF("a", "sa").join(counted_side(pairs, count["rows"]), "a")
+        right = sets_of(texts.where("is_b"), size).toDF("b", "sb")
         both = left.join(right, "b")
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         both = both.select("a", "b", "na", "nb", common.alias("common"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,19 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, a query's shuffle files go as soon as it has ended, not when the driver's garbage is collected. For
+    steps that go on from written tables only: a shuffle needed again would be made again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and continue from there.
 
